@@ -111,6 +111,12 @@ class OrderedRanges:
         group = below(heads)
         return F.when(key.isNull() | (group == 0), F.lit(0)).otherwise((group - 1) * step + below(F.try_element_at(fine, group)))
 
+    def snap(self, df: DataFrame) -> OrderedRanges:
+        """Move every bound to the smallest id that its range really has (quantiles of large ids are rounded)."""
+        found = df.filter(F.col(self.key).isNotNull()).groupBy(self.number().alias("n")).agg(F.min(self.key).alias("first")).filter("n > 0").collect()
+        self.bounds = sorted(r["first"] for r in found)
+        return self
+
     def deal(self, df: DataFrame, column: str = "part") -> DataFrame:
         """One partition for each range, sorted by range and id; ``df`` has the range in ``column``."""
         return df.repartitionById(len(self.bounds) + 1, F.col(column).cast("int"))

@@ -18,6 +18,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folds 1 to 3 are counted, fold 4 calibrates, fold 0 is held out; a document of one text and several
+    labels counts with each."""
+    from .common import fold
+    from .toxicity import learn, score
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").cast("string").alias("text"))
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("int").alias("label")).filter("label is not null")
+    seen = docs.filter(fold() != 0).join(labels.filter(fold() != 0), "doc_id")
+    model = learn(seen, fold() == 4)
+    scored = score(docs.withColumn("held_out", fold() == 0), model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("passages").cast("long").alias("n_passages"))
+
+
+def op2_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .common import fold
+    from .langid import label, learn
+
+    docs = table(spark, sf_dir, "documents")
+    model = learn(docs.filter(fold() != 0).select("text", "lang"))
+    labelled = label(docs.select("doc_id", (fold() == 0).alias("held_out"), "text"), model, ["doc_id", "held_out"])
+    return labelled.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").cast("long").alias("n_spans"))
+
+
+def op3_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secret_ledger import secret_digests
+
+    return secret_digests(table(spark, sf_dir, "documents"))
+
+
 def op4_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_planes import plane_digests
 
@@ -31,8 +61,27 @@ def op8_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
 
 
+def op6_png_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .media import text_picture_features
+
+    found = text_picture_features(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", F.lower(F.hex("cosine_hash")).alias("feature"))
+
+
+def op9_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix
+
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "epochs")
+
+
+def op10_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sketches import edited_fingerprints
+
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_token_planes, op8_power_of_two_packing)}
+    return {f.__name__: f for f in (op1_toxic_segments, op2_crf_language, op3_blob_ledger, op4_token_planes, op6_png_media, op8_power_of_two_packing, op9_weighted_mix, op10_scaled_sketch)}
 
 
 def oracle_sql() -> dict[str, str]:
