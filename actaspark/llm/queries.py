@@ -54,6 +54,12 @@ def op4_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plane_digests(table(spark, sf_dir, "documents"), tokenizer_file()).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op7_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .minhash import near_groups
+
+    return near_groups(table(spark, sf_dir, "documents"), width=4).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op8_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
@@ -81,7 +87,7 @@ def op10_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxic_segments, op2_crf_language, op3_blob_ledger, op4_token_planes, op6_png_media, op8_power_of_two_packing, op9_weighted_mix, op10_scaled_sketch)}
+    return {f.__name__: f for f in (op1_toxic_segments, op2_crf_language, op3_blob_ledger, op4_token_planes, op6_png_media, op7_bbit_minhash, op8_power_of_two_packing, op9_weighted_mix, op10_scaled_sketch)}
 
 
 def oracle_sql() -> dict[str, str]:
