@@ -41,7 +41,7 @@ def shingles(text: str | None, width: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     if len(words) < width:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=len(words))], np.uint64)
-    w = np.array(list(map(xxhash.xxh3_64_intdigest, words)), np.uint64)
+    w = np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), ">u8").astype(np.uint64)
     n = len(w) - width + 1
     h = w[:n].copy()
     with np.errstate(over="ignore"):

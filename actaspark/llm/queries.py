@@ -67,6 +67,12 @@ def op8_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
 
 
+def op5_simhash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import line_classes
+
+    return line_classes(table(spark, sf_dir, "documents"))
+
+
 def op6_png_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .media import text_picture_features
 
@@ -87,7 +93,7 @@ def op10_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxic_segments, op2_crf_language, op3_blob_ledger, op4_token_planes, op6_png_media, op7_bbit_minhash, op8_power_of_two_packing, op9_weighted_mix, op10_scaled_sketch)}
+    return {f.__name__: f for f in (op1_toxic_segments, op2_crf_language, op3_blob_ledger, op4_token_planes, op5_simhash_lines, op6_png_media, op7_bbit_minhash, op8_power_of_two_packing, op9_weighted_mix, op10_scaled_sketch)}
 
 
 def oracle_sql() -> dict[str, str]:
