@@ -324,3 +324,26 @@ def label(docs: DataFrame, model: Model | None, keep: list[str] | None = None, t
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "lang_pred string, score double, spans array<struct<start:int,end:int,lang:string,score:double>>"])
     spread = docs.sparkSession.sparkContext.broadcast(model)
     return docs.select(*keep, F.col(text).cast("string").alias("text")).mapInArrow(_labels(spread, keep), schema)
+
+
+def _known_only(model, least: float):
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Labeller(model.value)
+        for batch in slices(batches, "text", 2 << 20):
+            lengths, p = own.marginals(batch.column("text").to_pylist())
+            best = np.zeros(len(lengths))
+            some = lengths > 0
+            if len(p):
+                best[some] = np.add.reduceat(p, (np.cumsum(lengths) - lengths)[some]).max(axis=1) / lengths[some]
+            yield batch.filter(pa.array(some & (best >= least)))
+
+    return known
+
+
+def known_language(docs: DataFrame, model: Model | None, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose text has a language: at least one letter, and a language that is expected to
+    hold ``least`` of its words. All columns stay as they are."""
+    if model is None:
+        return docs.limit(0)
+    spread = docs.sparkSession.sparkContext.broadcast(model)
+    return docs.mapInArrow(_known_only(spread, least), docs.schema)

@@ -201,3 +201,10 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     out = out.select("doc_id", "n_shingles", component.alias("component_id"), "node")
     return out.withColumn("kept", F.col("component_id").isNull() | F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` whose document is kept; all columns stay as they are."""
+    gone = stored(near_groups(docs, **options).filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
+    gone = F.broadcast(gone) if gone.count() <= MAX_BROADCAST_IDS else gone
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")

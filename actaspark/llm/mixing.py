@@ -144,6 +144,7 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 def mixed_documents(docs: DataFrame, seed: int = 17, **options) -> DataFrame:
     """The mix itself: ``docs`` with every document as often as it is taken. Texts stay where they are read."""
     _, plan, n = mix_plan(docs, seed=seed, **options)
-    rows = taken(with_keys(docs, seed, options.get("weight")), plan.withColumnsRenamed({c: f"plan_{c}" for c in ("source_size", "target")}), n)
+    own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("mix_row"), "doc_id", "text", "source")
+    rows = taken(with_keys(own, seed, options.get("weight")).drop("text"), plan, n)
     copies = F.when(F.col("mix_copies") > 0, F.sequence(F.lit(1), F.col("mix_copies"))).otherwise(F.array().cast("array<int>"))
-    return rows.withColumn("mix_copy", F.explode(copies)).select(*docs.columns)
+    return rows.select("mix_row", F.explode(copies)).select("mix_row.*")
