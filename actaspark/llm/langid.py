@@ -90,7 +90,8 @@ def marginals(emission: np.ndarray, lengths: np.ndarray, transition: np.ndarray,
     """Marginals of every word of sequences that stand one after the other, by exact forward-backward.
 
     ``emission``: (words, languages) log weights; ``lengths``: words of each sequence, all positive. With
-    ``pairs`` also the expected transitions and starts, and the log likelihood's normaliser."""
+    ``pairs`` also the expected transitions and starts, and the log likelihood's normaliser; that is for
+    training sequences, of one block at most."""
     n, m = emission.shape
     peak = emission.max(axis=1)
     psi = np.exp(emission - peak[:, None]).astype(np.float64)
@@ -105,6 +106,8 @@ def marginals(emission: np.ndarray, lengths: np.ndarray, transition: np.ndarray,
     at = begin[order]
     active = np.searchsorted(-size[order], -np.arange(1, BLOCK + 1), "right")  # blocks with more than t words
     nb = len(order)
+    if pairs and lengths.max() > BLOCK:
+        raise ValueError("training sequences are of one block at most")
     log_norm = 0.0
     entry = np.empty((nb, m))
     leave = np.empty((nb, m))
@@ -334,15 +337,15 @@ def _known_only(model, least: float):
             best = np.zeros(len(lengths))
             some = lengths > 0
             if len(p):
-                best[some] = np.add.reduceat(p, (np.cumsum(lengths) - lengths)[some]).max(axis=1) / lengths[some]
+                best[some] = np.add.reduceat(p.max(axis=1), (np.cumsum(lengths) - lengths)[some]) / lengths[some]
             yield batch.filter(pa.array(some & (best >= least)))
 
     return known
 
 
 def known_language(docs: DataFrame, model: Model | None, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose text has a language: at least one letter, and a language that is expected to
-    hold ``least`` of its words. All columns stay as they are."""
+    """The rows of ``docs`` whose text is in known languages, one or several: at least one letter, and a mean
+    marginal of the words' labels of at least ``least``. All columns stay as they are."""
     if model is None:
         return docs.limit(0)
     spread = docs.sparkSession.sparkContext.broadcast(model)
