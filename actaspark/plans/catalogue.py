@@ -463,3 +463,47 @@ def q46_pricing(t):
     """A filtered aggregate over the largest table."""
     rows = t("lineitem").filter("l_shipdate <= timestamp_ntz'1998-09-02'")
     return rows.groupBy("l_returnflag", "l_linestatus").agg(F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("sum_qty"), F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("sum_price"), F.count(F.lit(1)).alias("n"))
+
+
+def q43_stream_watch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """2.11: events as a stream of files; per user new purchases, written idempotently and read back."""
+    import uuid
+
+    from actaspark.streaming import watch_stream
+
+    root = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
+    base = f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    rows = events.select(F.concat(F.lit("event/"), F.col("event_id").cast("string")).alias("url"), F.col("ts").cast("date").alias("date_doc"), F.col("ts").cast("timestamp").alias("time"), F.array(F.col("user_id").cast("string")).alias("TVA"))
+    rows.repartition(3, "time").write.parquet(f"{base}/in")
+    watched = events.filter("event_type = 'purchase'").select((F.col("user_id") % 7).alias("watch_id"), F.col("user_id").cast("string").alias("numero_tva")).distinct()
+    stream = watch_stream.replay(spark, f"{base}/in", rows.schema, 3)
+    watch_stream.start_watch(stream, watched, f"{base}/out", f"{base}/state").awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+def q47_extractors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1 to X13 on sentences in which numbers and names come from the driver's customers."""
+    from actaspark.operators import entities
+    from actaspark.operators.judgment_date import judgment_date
+    from actaspark.operators.packs import appeal, enterprise, first_instance, strike_off
+
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    k = F.col("c_custkey")
+    said = F.concat(
+        F.lit("Par jugement du 12 mars 2024, le tribunal prononce l'ouverture de la faillite de : SRL EXEMPLE "), F.upper("c_mktsegment"),
+        F.lit(", dont le siège est établi à 1400 Nivelles, rue de l'Industrie "), (k % 90 + 1).cast("string"), F.lit(". Curateur : Maître Alice EXEMPLE. Le nommé DUPONT, Jean, domicilié à 4537 Verlaine, Grand-Route "), (k % 200 + 1).cast("string"), F.lit("."),
+    )
+    rows = c.select("c_custkey", said.alias("text"))
+    for name, pack in (("enterprise", enterprise.PACK), ("first", first_instance.PACK), ("appeal", appeal.PACK), ("strike", strike_off.PACK)):
+        rows = rules.with_tags(rows, pack, "text", f"tags_{name}")
+    rows = rows.withColumns({"judged": judgment_date(F.col("text")), "admins": entities.administrators_of("text"), "companies": entities.company_names_of("text"), "people": entities.persons_of("text"), "homes": entities.home_addresses_of("text"), "seat": entities.company_address_of("text")})
+    tags = F.array_join(F.concat("tags_enterprise", "tags_first", "tags_appeal", "tags_strike"), ",")
+    return rows.select("c_custkey", tags.alias("tags"), F.col("judged.date").alias("judged"), F.array_join(F.transform("admins", lambda a: a["entity"]), ",").alias("admins"), F.array_join("companies", ",").alias("companies"), F.array_join(F.transform("people", lambda p: p["canonical"]), ",").alias("people"), F.array_join("homes", "|").alias("homes"), "seat")
+
+
+QUERIES["q43_stream_watch"] = q43_stream_watch
+QUERIES["q47_extractors"] = q47_extractors
+SQL["q47_extractors"] = """SELECT c_custkey, 'ouverture_faillite_tribunal_de_l_entreprise' AS tags, '2024-03-12' AS judged, 'Alice Exemple' AS admins, 'EXEMPLE ' || upper(c_mktsegment) || ' SRL' AS companies, 'DUPONT Jean' AS people,
+'4537 Verlaine, Grand-Route ' || (c_custkey % 200 + 1) AS homes, '1400 NIVELLES, RUE DE L''INDUSTRIE ' || (c_custkey % 90 + 1) AS seat FROM customer"""
+SQL["q43_stream_watch"] = """SELECT w.watch_id, e.user_id::VARCHAR AS numero_tva, 'DECISION' AS type, e.ts::DATE AS date_publication, 'event/' || e.event_id AS source FROM events e JOIN (SELECT DISTINCT user_id % 7 AS watch_id, user_id FROM events WHERE event_type = 'purchase') w ON w.user_id = e.user_id"""
