@@ -44,7 +44,7 @@ def company_dimension(enterprise: DataFrame, denominations: DataFrame, addresses
     names = denominations.select(ids.format_number(F.col("EntityNumber")).alias("bce"), text.denomination(F.col("Denomination")).alias("name")).filter("bce is not null").groupBy("bce").agg(F.array_sort(F.collect_set("name")).alias("names"))
     line = text.registry_address()
     seats = addresses.select(F.col("EntityNumber").alias("entity"), line.alias("address")).filter("address <> ''")
-    own = seats.select(ids.format_number(F.col("entity")).alias("bce"), "address", F.lit("siege").alias("source"))
+    own = seats.join(establishments.select(F.col("EstablishmentNumber").alias("entity")), "entity", "left_anti").select(ids.format_number(F.col("entity")).alias("bce"), "address", F.lit("siege").alias("source"))
     branches = establishments.join(seats, establishments["EstablishmentNumber"] == seats["entity"]).select(ids.format_number(F.col("EnterpriseNumber")).alias("bce"), "address", F.lit("etablissement").alias("source"))
     found = own.unionByName(branches).filter("bce is not null").groupBy("bce").agg(F.array_sort(F.collect_set(F.struct("address", "source"))).alias("addresses"))
     every = types.join(names, "bce", "full").join(found, "bce", "full")
