@@ -94,7 +94,7 @@ def test_judgment_date(spark, text, want):
 
 
 def test_entities():
-    assert [(a["role"], a["entity"]) for a in entities.administrators("Liquidateur(s) désigné(s) : 1. Monsieur Jean EXEMPLE - rue du Test 5; Maître Anne Dupont, curateur")] == [("liquidateur", "Jean Exemple"), ("curateur", "Anne Dupont")]
+    assert [(a["role"], a["entity"]) for a in entities.administrators("Liquidateur(s) désigné(s) : 1. Monsieur Jean EXEMPLE - rue du Test 5; Maître Anne Dupont, curateur")] == [("curateur", "Anne Dupont"), ("liquidateur", "Jean Exemple")]
     assert entities.company_names("en cause de : ASBL EXEMPLE, dont") == ["EXEMPLE ASBL"]
     assert entities.struck_off_names("N° ent. 0123.456.749 EXEMPLE UN SPRL En date du") == ["EXEMPLE UN SPRL"]
     people = entities.persons("le nommé DUPONT, Jean, né à Liège; Monsieur Jean DUPONT")
