@@ -70,3 +70,32 @@ def without_dates(c: Column) -> Column:
     for rx in (rf"(?iU)\b\d{{1,2}}(?:er)?\s+(?:{MONTH_RX})\s+\d{{4}}\b", r"\b\d{1,2}[/.\-]\d{1,2}[/.\-]\d{2,4}\b", r"\b\d{4}-\d{2}-\d{2}\b", r"\b(?:19|20)\d{2}\b", r"\d{7,}"):
         c = F.regexp_replace(c, rx, " ")
     return F.trim(F.regexp_replace(c, r"\s+", " "))
+
+
+def _spoken(n: int) -> str:
+    """1 to 99 in French words."""
+    units = (*NUMBER_WORDS, "seize", "dix-sept", "dix-huit", "dix-neuf")
+    if n < 20:
+        return units[n - 1]
+    tens = {2: "vingt", 3: "trente", 4: "quarante", 5: "cinquante", 6: "soixante"}
+    ten, unit = divmod(n, 10)
+    if ten in (7, 9):
+        return f"{'soixante' if ten == 7 else 'quatre-vingt'}-{units[unit + 9]}"
+    word = "quatre-vingt" if ten == 8 else tens[ten]
+    return word if not unit else f"{word} et un" if unit == 1 and ten < 8 else f"{word}-{units[unit - 1]}"
+
+
+_DAYS = {"premier": 1} | {_spoken(n): n for n in range(1, 32)}
+_YEARS = {f"deux mille {_spoken(n)}": 2000 + n for n in range(1, 100)} | {"deux mille": 2000}
+
+
+def spoken_date(c: Column) -> Column:
+    """The first date written in words (``douze mars deux mille vingt-quatre``), or null. Longer number words
+    are tried first, so a year is never taken for a day."""
+    t = F.regexp_replace(F.regexp_replace(F.lower(c), r"\bdeux mil\b", "deux mille"), r"\s+", " ")
+    words = lambda table: "|".join(sorted(table, key=len, reverse=True))
+    rx = rf"(?U)\b({words(_DAYS)})\s+({MONTH_RX})\s+({words(_YEARS)})\b"
+    table = lambda values: F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+    day, month, year = (F.regexp_extract(t, rx, i) for i in (1, 2, 3))
+    text = F.concat_ws("-", F.element_at(table(_YEARS), year).cast("string"), F.lpad(month_number(month).cast("string"), 2, "0"), F.lpad(F.element_at(table(_DAYS), day).cast("string"), 2, "0"))
+    return F.when(t.rlike(rx), F.try_to_date(text, "yyyy-MM-dd"))

@@ -73,3 +73,22 @@ def role_priority(df: DataFrame, key: str, priority: Column, seq: str, csv: Colu
     best = F.max_by(F.struct(*rest), F.struct(priority, -F.col(seq)))
     out = df.groupBy(key).agg(best.alias("_row"), F.max(priority).alias("_p"), F.max(csv.cast("int")).alias("_csv"))
     return out.select(key, *[F.col(f"_row.{c}").alias(c) for c in rest], (F.col("_p") * 25 + F.col("_csv") * 75).cast("int").alias("confidence"))
+
+
+def resolve_company(unknown: str = "Société inconnue") -> Column:
+    """struct(bce, nom, adresse, source, confidence) of a decision with TVA, text, denoms_by_bce, adresses_by_bce,
+    adresses_by_ejustice (bce, nom, adresse) and denom_fallback_bce (bce, noms): number and name from the
+    registry first, the address from the lookup first."""
+    from actaspark.functions import ids
+
+    first = lambda c: F.try_element_at(c, F.lit(1))
+    looked, names, back = first(F.col("adresses_by_ejustice")), first(F.col("denoms_by_bce")), first(F.col("denom_fallback_bce"))
+    filled = lambda c: F.when(F.trim(c) != "", c)
+    strong, known = F.coalesce(F.size("adresses_by_ejustice") > 0, F.lit(False)), F.coalesce(F.size("denoms_by_bce") > 0, F.lit(False))
+    return F.struct(
+        ids.format_number(F.coalesce(first(F.col("TVA")), filled(looked["bce"]), first(ids.extract_numbers(F.col("text"))))).alias("bce"),
+        F.coalesce(filled(first(names["noms"])), filled(looked["nom"]), filled(first(back["noms"])), F.lit(unknown)).alias("nom"),
+        F.coalesce(filled(looked["adresse"]), filled(first(first(F.col("adresses_by_bce"))["adresses"])["address"])).alias("adresse"),
+        F.when(strong, "ejustice").when(known, "bce").otherwise("fallback").alias("source"),
+        F.when(strong, 1.0).when(known, 0.8).otherwise(0.5).alias("confidence"),
+    )

@@ -168,3 +168,14 @@ def test_stream_appends_once(spark, tmp_path):
     for k in range(2):  # and the whole stream twice
         watch_stream.start_watch(stream, watched, str(tmp_path / "out"), str(tmp_path / f"state{k}")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 8
+
+
+def test_resolve_company(spark):
+    schema = "TVA array<string>, text string, denoms_by_bce array<struct<bce:string,noms:array<string>>>, adresses_by_bce array<struct<adresses:array<struct<address:string>>>>, adresses_by_ejustice array<struct<bce:string,nom:string,adresse:string>>, denom_fallback_bce array<struct<bce:string,noms:array<string>>>"
+    rows = [
+        (["0123456749"], "", [("x", ["A"])], [([("R 1",)],)], [("0400000183", "B", "S 2")], None),
+        (None, "n° 0400.000.183", [("x", ["A"])], [([("R 1",)],)], None, None),
+        (None, "rien", None, None, None, None),
+    ]
+    got = [tuple(r["c"]) for r in spark.createDataFrame(rows, schema).select(merge.resolve_company().alias("c")).collect()]
+    assert got == [("0123.456.749", "A", "S 2", "ejustice", 1.0), ("0400.000.183", "A", "R 1", "bce", 0.8), (None, UNKNOWN, None, "fallback", 0.5)]

@@ -102,3 +102,9 @@ def test_page_text():
     assert text.page_text("<main>le 1<sup>er</sup> mars<br>fin<script>x</script></main>") == "le 1er mars fin"
     assert text.page_text("<p>a</p><p>b</p>") == "ab"
     assert text.page_text(None) is None
+
+
+@pytest.mark.parametrize("value,want", [("le douze mars deux mille vingt-quatre", "2024-03-12"), ("Premier février deux mil dix-sept", "2017-02-01"), ("trente et un août deux mille", "2000-08-31"), ("trente février deux mille un", None), ("rien", None)])
+def test_spoken_dates(spark, value, want):
+    got = one(spark, value, dates.spoken_date)
+    assert (got and got.isoformat()) == want
