@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 import tempfile
 import uuid
@@ -51,6 +52,13 @@ def forget(df: DataFrame) -> None:
         drop_path(df.sparkSession, folder)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the context's cleaner delete the shuffle files of plans that nothing refers to any more; it works on
+    what garbage collection finds, which a driver with little to do runs too seldom for a loop of small jobs."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that ``column`` holds about ``limit`` bytes in each; a longer single row stands alone."""
     for batch in batches:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, stored
+from .common import forget, release, stored
 
 
 def _print(edges: DataFrame) -> tuple:
@@ -36,48 +36,52 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def linked_groups(buckets: DataFrame, confirm: Callable[[DataFrame], DataFrame], rounds: int = 3) -> DataFrame:
+def linked_groups(buckets: DataFrame, features: DataFrame, likely: Callable[[str, str], Column], confirm: Callable[[DataFrame], DataFrame], rounds: int = 3) -> DataFrame:
     """(node, root) for nodes that are linked to another; nodes without a link have no row.
 
-    ``buckets``: (key, node), stored; candidates are nodes that share a key. ``confirm`` takes pairs (a, b),
-    a < b, and returns those that are links. In each round one pivot of every bucket is compared with those
-    of its members that aren't yet known to be in the pivot's group, so a bucket of n costs n pairs a round,
-    not n squared. Most buckets are one group after the first. What is still apart after the last round is
-    compared in full across the groups of a bucket, so no link between groups is lost."""
+    ``buckets``: (key, node), stored; candidates are nodes that share a key. ``features``: one narrow row for
+    each node of a bucket (its signature). ``likely`` says, of two aliases of it, whether a pair may be a link;
+    it must hold for every link, and it is tested within the join, before a pair is made. ``confirm`` takes
+    likely pairs (a, b) and returns those that are links.
+
+    In each round one pivot of every bucket is compared with those of its members that aren't yet known to
+    be in the pivot's group, so a bucket of n costs n comparisons a round, not n squared. Most buckets are one
+    group after the first. What is still apart after the last round is compared across the groups of a
+    bucket, so no link between groups is lost."""
     spark = buckets.sparkSession
     pairs_type = "a long, b long"
     edges = spark.createDataFrame([], pairs_type)
     tested = spark.createDataFrame([], pairs_type)
     groups = spark.createDataFrame([], "node long, root long")
+    packed = features.select("node", F.struct(*[c for c in features.columns if c != "node"]).alias("f"))
+    members = stored(buckets.join(packed, "node").select("key", "node", "f"), "members")
     linked = False
     for step in range(rounds + 1):
-        rows = buckets
+        rows = members.withColumn("root", F.col("node"))
         if linked:
-            rows = rows.join(groups, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-        else:
-            rows = rows.select("key", "node", F.col("node").alias("root"))
-        open_keys = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min(F.struct(F.xxhash64("node", F.lit(step)), F.col("node"), F.col("root"))).alias("p")).filter("lo < hi")
-        open_keys = open_keys.select("key", F.col("p.node").alias("pivot"), F.col("p.root").alias("pivot_root"))
-        rows = rows.join(open_keys, "key")
+            rows = members.join(groups, "node", "left").select("key", "node", "f", F.coalesce("root", "node").alias("root"))
+        pivot = F.min(F.struct(F.xxhash64("node", F.lit(step)).alias("h"), F.col("node"), F.col("root"), F.col("f")))
+        open_keys = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), pivot.alias("p")).filter("lo < hi")
+        rows = stored(rows.join(open_keys.select("key", "p"), "key"), "open")
+        opened = rows
+        if rows.isEmpty():
+            break
         if step < rounds:
-            found = rows.filter("root <> pivot_root").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+            found = rows.filter((F.col("root") != F.col("p.root")) & likely("f", "p.f"))
+            found = found.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
         else:
-            left = stored(rows.select("key", "node", "root"), "open")
-            x, y = left.alias("x"), left.alias("y")
-            found = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.root") < F.col("y.root"))).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-        found = found.distinct()
-        if step:
-            found = found.join(tested, ["a", "b"], "left_anti")
-        found = stored(found, "pairs")
-        if found.isEmpty():
-            # the pivots met nobody new; buckets that are still open need the last, full comparison
-            if step < rounds and not open_keys.isEmpty():
-                continue
-            break
+            x, y = (rows.select(*[F.col(c).alias(f"{c}_{s}") for c in ("node", "root")], F.col("key"), F.col("f").alias(s)) for s in ("x", "y"))
+            found = x.join(y, (x["key"] == y["key"]) & (F.col("root_x") < F.col("root_y")) & likely("x", "y"))
+            found = found.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
+        found = stored(found.join(tested, ["a", "b"], "left_anti") if step else found, "likely")
+        tested = tested.unionByName(found)
         links = stored(confirm(found), "links")
         if not links.isEmpty():
             edges = edges.unionByName(links)
             groups = components(edges)
             linked = True
-        tested = tested.unionByName(found)
+        del rows, open_keys, found
+        forget(opened)
+        release(spark)
+    forget(members)
     return groups

@@ -183,17 +183,18 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
     read = texts.mapInArrow(_set_reader(width), "node long, shingles array<long>").filter("node is not null")
     sets = stored(read.join(known.select("node"), "node", "left_semi").dropDuplicates(["node"]) if _repeated(docs) else read, "sets")
 
+    def likely(x: str, y: str) -> Column:
+        na, nb = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
+        near = estimate(F.col(f"{x}.signature"), F.col(f"{y}.signature"), bands * rows) >= percent / 100 - cut
+        return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & near
+
     def confirm(pairs: DataFrame) -> DataFrame:
-        k = known.select("node", "signature", "n_shingles")
-        a = k.select(F.col("node").alias("a"), F.col("signature").alias("sa"), F.col("n_shingles").alias("na"))
-        b = k.select(F.col("node").alias("b"), F.col("signature").alias("sb"), F.col("n_shingles").alias("nb"))
-        likely = pairs.join(a, "a").join(b, "b").filter((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (estimate(F.col("sa"), F.col("sb"), bands * rows) >= percent / 100 - cut)).select("a", "b")
         x = sets.select(F.col("node").alias("a"), F.col("shingles").alias("xa"))
         y = sets.select(F.col("node").alias("b"), F.col("shingles").alias("xb"))
         common = F.size(F.array_intersect("xa", "xb"))
-        return likely.join(x, "a").join(y, "b").filter(100 * common >= percent * (F.size("xa") + F.size("xb") - common)).select("a", "b")
+        return pairs.join(x, "a").join(y, "b").filter(100 * common >= percent * (F.size("xa") + F.size("xb") - common)).select("a", "b")
 
-    groups = linked_groups(buckets, confirm)
+    groups = linked_groups(buckets, known.select("node", "n_shingles", "signature"), likely, confirm)
     named = first.join(groups, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "doc_id")
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     by_node = named.join(least, "root").select("node", "component_id")
