@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from actaspark.llm import graph, line_dedup, minhash
 from actaspark.llm.common import stored
@@ -39,7 +40,9 @@ def test_linked_groups_lose_no_link(spark):
     members = [(1, i) for i in range(0, 45)] + [(2, i) for i in range(45, 60)] + [(3, rng.randrange(45)) for _ in range(10)]
     buckets = stored(spark.createDataFrame(members, "key long, node long").distinct(), "test-buckets")
     good = spark.createDataFrame(sorted(links), "a long, b long")
-    got = {r["node"]: r["root"] for r in graph.linked_groups(buckets, lambda p: p.join(good, ["a", "b"], "left_semi"), rounds=2).collect()}
+    features = spark.range(60).select(F.col("id").alias("node"), F.col("id").alias("mark"))
+    maybe = lambda x, y: F.abs(F.col(f"{x}.mark") - F.col(f"{y}.mark")) < 10
+    got = {r["node"]: r["root"] for r in graph.linked_groups(buckets, features, maybe, lambda p: p.join(good, ["a", "b"], "left_semi"), rounds=2).collect()}
     want = roots(60, links)
     for i in range(60):
         assert got.get(i, i) == want[i], i
@@ -94,8 +97,6 @@ def test_estimate(spark):
         a, b = both[: n + rest], np.concatenate([both[:n], both[n + rest :]])
         planes = minhash.bit_planes(hasher.minima([a, b]))
         row = spark.createDataFrame([(planes[0].tolist(), planes[1].tolist())], "a array<long>, b array<long>")
-        from pyspark.sql import functions as F
-
         got = row.select(minhash.estimate(F.col("a"), F.col("b"), 240).alias("e")).first()["e"]
         assert abs(got - share) < 0.13
 
@@ -130,6 +131,8 @@ def test_simhash():
     words = rng.integers(0, 1 << 63, 50).astype(np.uint64)
     starts = np.array([0, 7, 20])
     got = line_dedup.simhash(words, starts)
+    huge = np.concatenate([np.full(70_000, words[0]), np.full(69_000, words[1]), words[2:5]])
+    assert line_dedup.simhash(huge, np.array([0, 139_000]))[0, 0] == np.int64(words[0])
     for k, (a, b) in enumerate([(0, 7), (7, 20), (20, 50)]):
         for bit in range(64):
             ones = sum(int(w) >> bit & 1 for w in words[a:b])
@@ -139,8 +142,9 @@ def test_simhash():
 def line_rows(docs):
     out = []
     for r in docs.dropDuplicates(["doc_id", "text"]).collect():
-        for i, line in enumerate((r["text"] or "").split("\n")):
-            out.append((r["doc_id"], i, tuple(line_dedup.line_tokens(line))))
+        for i, line in enumerate((r["text"] or "").lower().split("\n")):
+            words = "".join(c if c.isalnum() or ord(c) > 127 else " " for c in line).split(" ")
+            out.append((r["doc_id"], i, tuple(w.encode() for w in words if w)))
     return sorted(out, key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
 
 
