@@ -175,3 +175,22 @@ def test_without_repeats(odd_docs, no_docs):
     texts = {r["doc_id"]: r["text"] for r in left.collect()}
     assert 60 in texts and 79 not in texts and texts[75] is None and texts[77] == " \n\t \n"
     assert line_dedup.without_repeats(no_docs).count() == 0
+
+
+def test_line_groups_find_similar_lines(spark):
+    """Lines of 5 to 50 words with edits at random and at even places: what brute force links is linked."""
+    rng = random.Random(8)
+    rows = []
+    for n in [*range(5, 51), 5, 5, 5, 6, 10]:
+        base = [f"w{rng.randrange(3000)}" for _ in range(n)]
+        rows.append(base)
+        for even in (False, True):
+            w, e = list(base), rng.randint(1, n // 5)
+            for at in range(2, 5 * e, 5) if even else rng.sample(range(n), e):
+                w[at] = f"x{rng.randrange(3000)}"
+            rows.append(w)
+        rows += [base[:2] + ["more"] + base[2:], [f"w{rng.randrange(3000)}" for _ in range(n)]]
+    want = roots(len(rows), [(i, j) for i in range(len(rows)) for j in range(i) if edits(rows[i], rows[j]) <= 0.2 * max(len(rows[i]), len(rows[j])) + 1e-9])
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: r["class_doc_id"] for r in line_dedup.line_groups(docs).collect()}
+    assert [got[i] for i in range(len(rows))] == want
