@@ -194,3 +194,13 @@ def test_line_groups_find_similar_lines(spark):
     docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], "doc_id long, text string")
     got = {r["doc_id"]: r["class_doc_id"] for r in line_dedup.line_groups(docs).collect()}
     assert [got[i] for i in range(len(rows))] == want
+
+
+def test_line_groups_of_short_and_unspaced_lines(spark):
+    """Equal lines go however short they are; without blanks, characters are compared."""
+    long = "我们今天在这里讨论如何删除重复的文本行"
+    texts = ["All rights reserved\n\n----\nunlike", "all rights, reserved.\n\n----\n====", "ปีใหม่ไทย\n" + long, "ปีใหม่ไทย\n" + long.replace("今", "明"), "全く別の行です\n \t"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r["doc_id"], r["line_no"]): (r["class_doc_id"], r["class_line_no"]) for r in line_dedup.line_groups(docs).collect()}
+    linked = {(1, 0): (0, 0), (1, 2): (0, 2), (3, 0): (2, 0), (3, 1): (2, 1)}
+    assert got == {(d, i): linked.get((d, i), (d, i)) for d, t in enumerate(texts) for i in range(t.count("\n") + 1)}
