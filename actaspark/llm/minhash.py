@@ -13,7 +13,9 @@ pivots and not all with all (``graph.linked_groups``).
 
 Defined results: null text, empty text and text without words have an empty set and are linked with nothing
 (component_id is their own id); rows that repeat a doc_id with one text are one document, and with different
-texts each text is grouped by itself; a null doc_id names no group; an empty table gives no rows."""
+texts each text is grouped by itself; a null doc_id is linked as any other but names no group; of a group the
+document with the least doc_id is kept (nulls last; of one id with several texts, one by hash); ``one_of_each``
+keeps one of equal texts without an id; an empty table gives no rows."""
 
 from __future__ import annotations
 
@@ -135,15 +137,15 @@ def _signer(width: int, bands: int, rows: int):
                 np.cumsum(full * values.shape[1], out=offsets[1:])
                 return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.reshape(-1)))
 
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(nodes, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), listed(keys), listed(planes)], names=["doc_id", "node", "n_shingles", "bands", "signature"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(nodes, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), listed(keys), listed(planes)], names=["doc_id", "row", "node", "n_shingles", "bands", "signature"])
 
     return sign
 
 
 def signatures(docs: DataFrame, width: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, node (hash of the whole set; null if empty), n_shingles, bands, signature. A scan; no shuffle."""
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return plain.mapInArrow(_signer(width, bands, rows), "doc_id long, node long, n_shingles long, bands array<long>, signature array<long>")
+    """doc_id, row (hash of the text), node (hash of the whole set; null if empty), n_shingles, bands, signature. A scan; no shuffle."""
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64(F.col("text").cast("string")).alias("row"))
+    return plain.mapInArrow(_signer(width, bands, rows), "doc_id long, row long, node long, n_shingles long, bands array<long>, signature array<long>")
 
 
 def _set_reader(width: int):
@@ -162,13 +164,15 @@ def _repeated(docs: DataFrame) -> bool:
 
 
 def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, cut: float = 0.2) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id, kept, node (equal for equal sets).
+    """Per document: doc_id, row (hash of its text), n_shingles, component_id, kept, node (equal for equal sets).
 
     Links: 100 * intersection >= ``percent`` * union of the full sets."""
     signed = stored(signatures(docs, width, bands, rows), "signatures")
     some = signed.filter("node is not null")
-    first = some.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    nodes = some.join(first, ["node", "doc_id"], "left_semi")
+    own = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
+    first = some.groupBy("node").agg(F.min(own).alias("first")).select("node", "first", F.col("first.doc_id").alias("doc_id"))
+    at = first.select(F.col("node").alias("at"), F.col("first").alias("at_first"))
+    nodes = some.join(at, (F.col("node") == F.col("at")) & (own == F.col("at_first")), "left_semi")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     members = nodes.select("node", F.explode("bands").alias("key")).repartition(n, "key")
     shared = members.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("key")
@@ -176,9 +180,9 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
 
     candidates = buckets.select("node").distinct()
     known = stored(nodes.join(candidates, "node", "left_semi").select("node", "doc_id", "n_shingles", "signature").dropDuplicates(["node"]), "candidates")
-    wanted = known.select("doc_id").distinct()
+    wanted = known.select(F.col("doc_id").alias("wanted_id")).distinct()
     wanted = F.broadcast(wanted) if known.count() <= MAX_BROADCAST_IDS else wanted
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(wanted, "doc_id", "left_semi").select("text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
     # a repeated doc_id brings its text more than once, or a text whose set isn't wanted
     read = texts.mapInArrow(_set_reader(width), "node long, shingles array<long>").filter("node is not null")
     sets = stored(read.join(known.select("node"), "node", "left_semi").dropDuplicates(["node"]) if _repeated(docs) else read, "sets")
@@ -195,17 +199,27 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
         return pairs.join(x, "a").join(y, "b").filter(100 * common >= percent * (F.size("xa") + F.size("xb") - common)).select("a", "b")
 
     groups = linked_groups(buckets, known.select("node", "n_shingles", "signature"), likely, confirm)
-    named = first.join(groups, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "doc_id")
-    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    by_node = named.join(least, "root").select("node", "component_id")
-    out = signed.select("doc_id", "n_shingles", "node").join(by_node, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    out = out.select("doc_id", "n_shingles", component.alias("component_id"), "node")
-    return out.withColumn("kept", F.col("component_id").isNull() | F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    named = first.join(groups, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "first")
+    least = named.groupBy("root").agg(F.min("first").alias("keeper"))
+    by_node = named.join(least, "root").select("node", "keeper")
+    out = signed.select("doc_id", "row", "n_shingles", "node").join(by_node, "node", "left")
+    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("keeper.doc_id"))
+    kept = F.col("node").isNull() | (own == F.col("keeper"))
+    return out.select("doc_id", "row", "n_shingles", component.alias("component_id"), "node", kept.alias("kept"))
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` whose document is kept; all columns stay as they are."""
-    gone = stored(near_groups(docs, **options).filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
+    groups = stored(near_groups(docs, **options).select(F.col("doc_id").alias("gone_id"), F.col("row").alias("gone_row"), "kept", "node"), "groups")
+    gone = groups.filter(~F.col("kept")).select("gone_id", "gone_row").distinct()
     gone = F.broadcast(gone) if gone.count() <= MAX_BROADCAST_IDS else gone
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")
+    row = F.xxhash64(docs["text"].cast("string"))
+    left = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(F.col("gone_id")) & (row == F.col("gone_row")), "left_anti")
+    # equal texts without an id are told apart by nothing; all but one of them go
+    twice = groups.filter("gone_id is null and node is not null and kept").groupBy("gone_row").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gone_row")
+    if twice.isEmpty():
+        return left
+    copies = left.filter("doc_id is null").withColumn("gone_row", F.xxhash64(F.col("text").cast("string")))
+    one = copies.join(twice, "gone_row", "left_semi").dropDuplicates(["gone_row"]).select(*(f"`{c}`" for c in docs.columns))
+    rest = left.join(twice, left["doc_id"].isNull() & (F.xxhash64(left["text"].cast("string")) == twice["gone_row"]), "left_anti")
+    return rest.unionByName(one)

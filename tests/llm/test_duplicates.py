@@ -204,3 +204,19 @@ def test_line_groups_of_short_and_unspaced_lines(spark):
     got = {(r["doc_id"], r["line_no"]): (r["class_doc_id"], r["class_line_no"]) for r in line_dedup.line_groups(docs).collect()}
     linked = {(1, 0): (0, 0), (1, 2): (0, 2), (3, 0): (2, 0), (3, 1): (2, 1)}
     assert got == {(d, i): linked.get((d, i), (d, i)) for d, t in enumerate(texts) for i in range(t.count("\n") + 1)}
+
+
+def test_rows_without_an_id_or_with_one_id_twice(spark):
+    rng = random.Random(9)
+    line = lambda n=12: " ".join(f"w{rng.randrange(9000)}" for _ in range(n))
+    shared, a, b, c, d = (line() for _ in range(5))
+    rows = [(None, f"{a}\n{shared}"), (None, f"{b}\n{shared}"), (7, f"{c}\n{a}"), (7, f"{d}\nown line of this text")]
+    left = line_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    texts = [r["text"] for r in left.collect()]
+    want = [a, b, c, d, "own line of this text", shared]
+    assert sorted(x for t in texts for x in t.split("\n")) == sorted(want)
+    x, y, z, near = line(60), line(60), line(60), line(60)
+    rows = [(3, x), (7, x), (7, y), (None, z), (None, z), (None, near), (None, near + " more"), (None, x), (None, None), (None, None)]
+    left = minhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = sorted((str(r["doc_id"]), str(r["text"]).removesuffix(" more")) for r in left.collect())
+    assert got == sorted([("3", x), ("7", y), ("None", z), ("None", near), ("None", "None"), ("None", "None")])
