@@ -178,6 +178,14 @@ def q13_enrich_array_lookup(t):
     return found.select("l_orderkey", F.array_join("names", "|").alias("names"), F.size("names").cast("long").alias("n"))
 
 
+@query()
+def q13_enrich_array_lookup_whole(t):
+    """J1 to J4 over all orders; the SQL of q13_enrich_array_lookup takes every tenth."""
+    own = t("lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list("l_partkey")).alias("parts"))
+    found = enrich.array_lookup(own, "l_orderkey", "parts", t("part"), "p_partkey", F.col("p_name"), "names")
+    return found.select("l_orderkey", F.array_join("names", "|").alias("names"), F.size("names").cast("long").alias("n"))
+
+
 @query("""SELECT n_name, array_to_string(list_sort(list(DISTINCT s_name)), '|') AS suppliers, array_to_string(list_sort(list(DISTINCT r_name)), '|') AS regions, count(DISTINCT s_suppkey) AS n
 FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY n_name""")
 def q14_names_per_company(t):
