@@ -4,8 +4,9 @@ Each document's tokens (with an end id) are cut into pieces of ``max_len`` and t
 the rest, longest first. A piece is a sequence of its own, and pieces of one length form a bucket, so no
 sequence crosses documents and none needs padding.
 
-Defined results: null or empty text is its end id alone; repeated rows and null ids are packed like any
-other row; an empty table gives no rows; further columns are ignored."""
+Defined results: null or empty text is its end id alone; a very long text is many full pieces; repeated rows,
+ties and null ids are packed like any other row; an empty table gives no rows; further columns are ignored,
+whatever their names."""
 
 from __future__ import annotations
 
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import slices
-from .tokens import encoder, shared_spec
+from .tokens import BATCH_BYTES, encoder, shared_spec
 
 PIECES = T.StructType(
     [
@@ -40,36 +41,32 @@ def binary_lengths(n: int, max_len: int) -> list[int]:
 
 def _cutter(spec, end_id: int, max_len: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end, known = encoder(spec).ids, int(end_id).to_bytes(4, "little"), {}
-        for batch in slices(batches, "text", 2 << 20):
-            buffers, lengths, starts, counts, totals = [], [], [], [], []
-            for text in batch.column("text").to_pylist():
-                ids = encode(text or "") + end
-                n = len(ids) // 4
+        encode, known = encoder(spec).encode, {}
+        for batch in slices(batches, "text", BATCH_BYTES):
+            bounds, data = encode(batch.column("text"), end_id)
+            totals = np.diff(bounds)
+            for n in np.unique(totals).tolist():
                 if n not in known:
                     known[n] = (own := np.array(binary_lengths(n, max_len), np.int64), np.cumsum(own) - own)
-                buffers.append(ids)
-                lengths.append(known[n][0])
-                starts.append(known[n][1])
-                counts.append(len(known[n][0]))
-                totals.append(n)
+            pieces = [known[n] for n in totals.tolist()]
             if len(known) > 100_000:
                 known.clear()
-            length, counts = np.concatenate(lengths), np.array(counts)
-            data = b"".join(buffers)
+            length, starts = np.concatenate([p[0] for p in pieces]), np.concatenate([p[1] for p in pieces])
+            counts = np.array([len(p[0]) for p in pieces])
             offsets = np.zeros(len(length) + 1, np.int64)
             np.cumsum(length * 4, out=offsets[1:])
             if len(data) < 1 << 31:
-                ids = pa.Array.from_buffers(pa.binary(), len(length), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
+                ids = pa.Array.from_buffers(pa.binary(), len(length), [None, pa.py_buffer(offsets.astype(np.int32)), data])
             else:
-                ids = pa.array([data[a:b] for a, b in zip(offsets[:-1], offsets[1:])], pa.binary())
+                ids = pa.Array.from_buffers(pa.large_binary(), len(length), [None, pa.py_buffer(offsets), data]).to_pylist()
+                ids = pa.array(ids, pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(pa.array(np.repeat(np.arange(len(counts)), counts))),
-                    pa.array(np.concatenate(starts)),
+                    pa.array(starts),
                     pa.array(length),
                     ids,
-                    pa.array(np.repeat(np.array(totals, np.int64), counts)),
+                    pa.array(np.repeat(totals, counts)),
                     pa.array(np.log2(length).astype(np.int32)),
                 ],
                 names=PIECES.names,

@@ -11,8 +11,9 @@ tokens) stands beside it.
 Files are written under a name of their own by each task attempt and listed in a manifest table, which only
 has the attempts that succeeded: a repeated or speculative task leaves an unlisted file, never a wrong one.
 
-Defined results: null or empty text is its end id alone; rows are ordered by doc_id (null first) and, within
-a repeated doc_id, by text; an empty table gives no files and no rows; further columns are ignored."""
+Defined results: null or empty text is its end id alone; a very long text spans blocks, never files; rows are ordered by doc_id (null first) and, within
+a repeated doc_id, by text; an empty table gives no files and no rows; further columns are ignored, whatever
+their names."""
 
 from __future__ import annotations
 
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import OrderedRanges, shared_dir, slices, stored
-from .tokens import encoder, shared_spec
+from .tokens import BATCH_BYTES, encoder, shared_spec
 
 MAGIC = b"ATPLANE1"
 
@@ -63,7 +64,7 @@ class PlaneWriter:
         self.at, self.index, self.held, self.n_held, self.docs, self.counts = len(MAGIC), [], [], 0, [], []
         out.write(MAGIC)
 
-    def add(self, doc_id: int | None, ids: bytes) -> None:
+    def add(self, doc_id: int | None, ids: bytes | memoryview) -> None:
         self.docs.append(doc_id)
         self.counts.append(len(ids) // 4)
         self.held.append(ids)
@@ -145,20 +146,23 @@ def open_fs(path: str) -> tuple[fs.FileSystem, str]:
 
 def _writer(spec, end_id: int, folder: str, block: int, planes: str, level: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(spec).ids, int(end_id).to_bytes(4, "little")
+        encode = encoder(spec).encode
         files, root = open_fs(folder)
         files.create_dir(root, recursive=True)
 
         def rows():
-            for batch in slices(batches, "text"):
-                yield from zip(*(batch.column(c).to_pylist() for c in ("part", "doc_id", "text")))
+            for batch in slices(batches, "text", BATCH_BYTES):
+                bounds, data = encode(batch.column("text"), end_id)
+                ids, bounds = memoryview(data), (4 * bounds).tolist()
+                parts, docs = (batch.column(c).to_pylist() for c in ("part", "doc_id"))
+                yield from zip(parts, docs, (ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])))
 
         for part, own in groupby(rows(), key=lambda r: r[0]):
             name = f"part-{part:06d}-{uuid.uuid4().hex}.planes"
             with files.open_output_stream(f"{root}/{name}") as out:
                 writer = PlaneWriter(out, block, planes, level)
-                for _, doc, text in own:
-                    writer.add(doc, encode(text or "") + end)
+                for _, doc, ids in own:
+                    writer.add(doc, ids)
                 writer.close()
             yield pa.RecordBatch.from_pydict({"part": [part], "file": [name], "n_docs": [len(writer.docs)], "n_tokens": [sum(writer.counts)], "n_blocks": [len(writer.index)]})
 
