@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -74,6 +75,29 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BY
         yield batch.slice(first)
 
 
+def odd_sketches(hashes: np.ndarray, sizes: np.ndarray, bits: int) -> np.ndarray:
+    """(sets, bits / 64) 64-bit words of sets that stand one after the other: of each of ``bits`` classes of
+    hashes, whether the set has an odd number of elements.
+
+    Two sets (or bags) differ in at least as many elements as their sketches differ in bits."""
+    out, ends = np.empty((len(sizes), bits // 64), np.int64), np.cumsum(sizes)
+    for first in range(0, len(sizes), 1000):
+        own = sizes[first : first + 1000]
+        part = hashes[ends[first] - sizes[first] : ends[first + len(own) - 1]]
+        at = np.repeat(np.arange(len(own)), own) * bits + (part % np.uint64(bits)).astype(np.int64)
+        odd = (np.bincount(at, minlength=len(own) * bits) & 1).astype(np.uint8).reshape(len(own), bits)
+        out[first : first + 1000] = np.packbits(odd, axis=1, bitorder="little").view("<i8")
+    return out
+
+
+def may_differ(a: Column, b: Column, most: Column, bits: int) -> Column:
+    """Whether two sets may differ in at most ``most`` elements: their odd sketches then differ in no more bits, and
+    in no more than are expected of so many elements and five standard deviations."""
+    differ = sum((F.bit_count(a[k].bitwiseXOR(b[k])) for k in range(bits // 64)), F.lit(0))
+    share = (1 - F.pow(F.lit(1 - 2 / bits), most)) / 2
+    return differ <= F.when(most <= bits // 4, most).otherwise(F.least(most, bits * share + 5 * F.sqrt(bits * share * (1 - share))))
+
+
 def text_of(column: str = "text") -> Column:
     """Null counts as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -36,7 +36,7 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def linked_groups(buckets: DataFrame, features: DataFrame, likely: Callable[[str, str], Column], confirm: Callable[[DataFrame], DataFrame], rounds: int = 3) -> DataFrame:
+def linked_groups(buckets: DataFrame, features: DataFrame, likely: Callable[[str, str], Column], confirm: Callable[[DataFrame], DataFrame], rounds: int = 4, sharper: tuple[DataFrame, Callable[[str, str], Column]] | None = None) -> DataFrame:
     """(node, root) for nodes that are linked to another; nodes without a link have no row.
 
     ``buckets``: (key, node), stored; candidates are nodes that share a key. ``features``: one narrow row for
@@ -45,14 +45,14 @@ def linked_groups(buckets: DataFrame, features: DataFrame, likely: Callable[[str
     likely pairs (a, b) and returns those that are links.
 
     In each round one pivot of every bucket is compared with those of its members that aren't yet known to
-    be in the pivot's group, so a bucket of n costs n comparisons a round, not n squared. Most buckets are one
-    group after the first. What is still apart after the last round is compared across the groups of a
-    bucket, so no link between groups is lost."""
+    be in the pivot's group, so a bucket of n costs n comparisons a round, not n squared. The first pivots are the
+    same in all buckets of a group; later ones differ from bucket to bucket, so a node of many buckets meets many
+    pivots in a round. After the last round the members outside a bucket's largest group are compared with
+    all that aren't in their own group, so no link between groups is lost; ``sharper`` has larger features and a
+    stricter test, which also holds for every link, for that comparison."""
     spark = buckets.sparkSession
-    pairs_type = "a long, b long"
-    edges = spark.createDataFrame([], pairs_type)
-    tested = spark.createDataFrame([], pairs_type)
     groups = spark.createDataFrame([], "node long, root long")
+    tested = spark.createDataFrame([], "a long, b long")
     packed = features.select("node", F.struct(*[c for c in features.columns if c != "node"]).alias("f"))
     members = stored(buckets.join(packed, "node").select("key", "node", "f"), "members")
     linked = False
@@ -60,27 +60,35 @@ def linked_groups(buckets: DataFrame, features: DataFrame, likely: Callable[[str
         rows = members.withColumn("root", F.col("node"))
         if linked:
             rows = members.join(groups, "node", "left").select("key", "node", "f", F.coalesce("root", "node").alias("root"))
-        pivot = F.min(F.struct(F.xxhash64("node", F.lit(step)).alias("h"), F.col("node"), F.col("root"), F.col("f")))
+        order = F.xxhash64("node", F.lit(step)) if not step else F.xxhash64("node", "key", F.lit(step))
+        pivot = F.min(F.struct(order.alias("h"), F.col("node"), F.col("root"), F.col("f")))
         open_keys = rows.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), pivot.alias("p")).filter("lo < hi")
-        rows = stored(rows.join(open_keys.select("key", "p"), "key"), "open")
-        opened = rows
+        opened = rows = stored(rows.join(open_keys.select("key", "p"), "key"), "open")
         if rows.isEmpty():
             break
         if step < rounds:
             found = rows.filter((F.col("root") != F.col("p.root")) & likely("f", "p.f"))
             found = found.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
         else:
-            x, y = (rows.select(*[F.col(c).alias(f"{c}_{s}") for c in ("node", "root")], F.col("key"), F.col("f").alias(s)) for s in ("x", "y"))
-            found = x.join(y, (x["key"] == y["key"]) & (F.col("root_x") < F.col("root_y")) & likely("x", "y"))
+            sizes = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+            core = sizes.groupBy("key").agg(F.max(F.struct("n", "root")).alias("most")).select("key", F.col("most.root").alias("core"))
+            rows, test = rows.drop("p").join(core, "key"), likely
+            if sharper:
+                large, test = sharper[0], sharper[1]
+                large = large.select("node", F.struct(*[c for c in large.columns if c != "node"]).alias("f"))
+                rows = rows.drop("f").join(large, "node")
+            x = rows.filter("root <> core").select(F.col("key").alias("key_x"), F.col("node").alias("node_x"), F.col("root").alias("root_x"), F.col("f").alias("x"))
+            y = rows.select("key", F.col("node").alias("node_y"), F.col("root").alias("root_y"), "core", F.col("f").alias("y"))
+            apart = (F.col("root_x") < F.col("root_y")) | (F.col("root_y") == F.col("core"))
+            found = x.join(y, (F.col("key_x") == F.col("key")) & (F.col("root_x") != F.col("root_y")) & apart & test("x", "y"))
             found = found.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
         found = stored(found.join(tested, ["a", "b"], "left_anti") if step else found, "likely")
         tested = tested.unionByName(found)
         links = stored(confirm(found), "links")
         if not links.isEmpty():
-            edges = edges.unionByName(links)
-            groups = components(edges)
+            stars = groups.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+            groups = components(links.unionByName(stars) if linked else links)
             linked = True
-        del rows, open_keys, found
         forget(opened)
         release(spark)
     forget(members)

@@ -2,12 +2,12 @@
 
 A document's set is its distinct word shingles. Minima under ``bands * rows`` hash functions are taken of
 every set; each band of ``rows`` minima is a bucket key, and of every minimum only ``BITS`` low bits are kept,
-packed into bit planes. Documents that share a bucket are candidates; counting equal bits and taking out
+packed into bit planes; an odd sketch (parities of hash classes) bounds how much two sets differ. Documents that share a bucket are candidates; counting equal bits and taking out
 chance agreement estimates their similarity, estimates well below the threshold are dropped, and the others
 are confirmed on the full sets. Links make groups; a group is named by its least doc_id.
 
 With 40 bands of 6, two sets at the threshold of 0.8 share no bucket with a probability of 6e-6, and the
-estimate of such a pair falls below the cut (0.6, six standard errors) about once in 10^9. Equal sets are one
+estimate of such a pair falls below the cut (0.66, four and a half standard errors) with one of 4e-6. Equal sets are one
 node from the start, so copies cost nothing however many there are; within a bucket, nodes are compared with
 pivots and not all with all (``graph.linked_groups``).
 
@@ -27,10 +27,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stored
+from .common import may_differ, odd_sketches, slices, stored
 from .graph import linked_groups
 
-BANDS, ROWS, BITS = 40, 6, 2
+BANDS, ROWS, BITS, ODD = 40, 6, 2, 1024
 #: Ids of documents whose sets are read again; as many are broadcast (some MB), more are joined by a shuffle.
 MAX_BROADCAST_IDS = 400_000
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -56,8 +56,10 @@ def shingles(text: str | None, width: int) -> np.ndarray:
     return np.unique(h)
 
 
-def node_of(own: np.ndarray) -> int:
-    return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(own.tobytes()))))
+def node_of(own: np.ndarray) -> tuple[int, int]:
+    """Two 64-bit hashes of a set: its node, and what tells apart sets with one node."""
+    wide = xxhash.xxh3_128_digest(own.tobytes())
+    return int.from_bytes(wide[:8], "little", signed=True), int.from_bytes(wide[8:], "little", signed=True)
 
 
 class MinHasher:
@@ -128,7 +130,7 @@ def _signer(width: int, bands: int, rows: int):
             sets = [shingles(t, width) for t in batch.column("text").to_pylist()]
             some = [s for s in sets if len(s)]
             full = np.array([len(s) > 0 for s in sets])
-            nodes = [node_of(s) if len(s) else None for s in sets]
+            nodes, checks = zip(*(node_of(s) if len(s) else (None, None) for s in sets))
             minima = hasher.minima(some) if some else np.empty((0, bands * rows), np.uint32)
             keys, planes = band_keys(minima, bands, rows), bit_planes(minima)
 
@@ -137,23 +139,27 @@ def _signer(width: int, bands: int, rows: int):
                 np.cumsum(full * values.shape[1], out=offsets[1:])
                 return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.reshape(-1)))
 
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(nodes, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), listed(keys), listed(planes)], names=["doc_id", "row", "node", "n_shingles", "bands", "signature"])
+            odd = odd_sketches(np.concatenate(some), np.array([len(s) for s in some]), ODD) if some else np.empty((0, ODD // 64), np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("row"), pa.array(nodes, pa.int64()), pa.array(checks, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), listed(keys), listed(planes), listed(odd)],
+                names=["doc_id", "row", "node", "check", "n_shingles", "bands", "signature", "odd"],
+            )
 
     return sign
 
 
 def signatures(docs: DataFrame, width: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, row (hash of the text), node (hash of the whole set; null if empty), n_shingles, bands, signature. A scan; no shuffle."""
+    """doc_id, row (hash of the text), node and check (hashes of the whole set; null if empty), n_shingles, bands, signature, odd (sketch). A scan; no shuffle."""
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64(F.col("text").cast("string")).alias("row"))
-    return plain.mapInArrow(_signer(width, bands, rows), "doc_id long, row long, node long, n_shingles long, bands array<long>, signature array<long>")
+    return plain.mapInArrow(_signer(width, bands, rows), "doc_id long, row long, node long, check long, n_shingles long, bands array<long>, signature array<long>, odd array<long>")
 
 
 def _set_reader(width: int):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 4 << 20):
             sets = [shingles(t, width) for t in batch.column("text").to_pylist()]
-            nodes = [node_of(s) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["node", "shingles"])
+            nodes, checks = zip(*(node_of(s) if len(s) else (None, None) for s in sets))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(checks, pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["node", "check", "shingles"])
 
     return read
 
@@ -163,11 +169,23 @@ def _repeated(docs: DataFrame) -> bool:
     return not docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
 
 
-def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, cut: float = 0.2) -> DataFrame:
+def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS, cut: float = 0.14) -> DataFrame:
     """Per document: doc_id, row (hash of its text), n_shingles, component_id, kept, node (equal for equal sets).
 
     Links: 100 * intersection >= ``percent`` * union of the full sets."""
     signed = stored(signatures(docs, width, bands, rows), "signatures")
+    clashes = signed.groupBy("node").agg(F.min("check").alias("lo"), F.max("check").alias("hi")).filter("lo <> hi")
+    clashes = stored(clashes.select(F.col("node").alias("clash")), "clashes")
+    clash = not clashes.isEmpty()
+
+    def apart(rows: DataFrame) -> DataFrame:
+        """Different sets have different nodes, should 64 bits not tell them apart."""
+        if not clash:
+            return rows
+        known = F.col("clash").isNotNull()
+        return rows.join(clashes, F.col("node") == F.col("clash"), "left").withColumn("node", F.when(known, F.xxhash64("node", "check")).otherwise(F.col("node"))).drop("clash")
+
+    signed = apart(signed)
     some = signed.filter("node is not null")
     own = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
     first = some.groupBy("node").agg(F.min(own).alias("first")).select("node", "first", F.col("first.doc_id").alias("doc_id"))
@@ -179,12 +197,13 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
     buckets = stored(members.join(shared.hint("shuffle_hash"), "key", "left_semi").select("key", "node").distinct(), "buckets")
 
     candidates = buckets.select("node").distinct()
-    known = stored(nodes.join(candidates, "node", "left_semi").select("node", "doc_id", "n_shingles", "signature").dropDuplicates(["node"]), "candidates")
+    known = stored(nodes.join(candidates, "node", "left_semi").select("node", "doc_id", "n_shingles", "signature", "odd").dropDuplicates(["node"]), "candidates")
     wanted = known.select(F.col("doc_id").alias("wanted_id")).distinct()
     wanted = F.broadcast(wanted) if known.count() <= MAX_BROADCAST_IDS else wanted
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
     # a repeated doc_id brings its text more than once, or a text whose set isn't wanted
-    read = texts.mapInArrow(_set_reader(width), "node long, shingles array<long>").filter("node is not null")
+    read = texts.mapInArrow(_set_reader(width), "node long, check long, shingles array<long>").filter("node is not null")
+    read = apart(read).drop("check")
     sets = stored(read.join(known.select("node"), "node", "left_semi").dropDuplicates(["node"]) if _repeated(docs) else read, "sets")
 
     def likely(x: str, y: str) -> Column:
@@ -192,13 +211,17 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
         near = estimate(F.col(f"{x}.signature"), F.col(f"{y}.signature"), bands * rows) >= percent / 100 - cut
         return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & near
 
+    def sure(x: str, y: str) -> Column:
+        both = F.col(f"{x}.n_shingles") + F.col(f"{y}.n_shingles")
+        return likely(x, y) & may_differ(F.col(f"{x}.odd"), F.col(f"{y}.odd"), F.floor(both * (100 - percent) / (100 + percent)), ODD)
+
     def confirm(pairs: DataFrame) -> DataFrame:
         x = sets.select(F.col("node").alias("a"), F.col("shingles").alias("xa"))
         y = sets.select(F.col("node").alias("b"), F.col("shingles").alias("xb"))
         common = F.size(F.array_intersect("xa", "xb"))
         return pairs.join(x, "a").join(y, "b").filter(100 * common >= percent * (F.size("xa") + F.size("xb") - common)).select("a", "b")
 
-    groups = linked_groups(buckets, known.select("node", "n_shingles", "signature"), likely, confirm)
+    groups = linked_groups(buckets, known.select("node", "n_shingles", "signature"), likely, confirm, sharper=(known.select("node", "n_shingles", "signature", "odd"), sure))
     named = first.join(groups, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "first")
     least = named.groupBy("root").agg(F.min("first").alias("keeper"))
     by_node = named.join(least, "root").select("node", "keeper")
