@@ -11,6 +11,9 @@ _DAY = r"(\d{1,2}(?:er)?\s+\w+\s+\d{4})"
 _COURT = r"\bcour\s+d\s*['’]?\s*appel(?:\s+de\s+[A-ZÉÈÂÊÎÔÛÇÀ-ÿ'\-]+)?"
 _PUBLIC = r"arr[êe]t\s+rendu\s+à\s+l\s*['’]\s*audience\s+publique(?:\s+extraordinaire)?\s+du\s+"
 
+# Seats of courts.
+CITIES = ("Bruxelles", "Charleroi", "Mons", "Namur", "Liège", "Huy", "Tournai", "Neufchâteau", "Marche-en-Famenne", "Arlon", "Dinant", "Eupen", "Nivelles", "Verviers")
+
 # Phrase, first and last character of the part that is looked at (negative: from the end).
 HEADED = (
     (_COURT + r"[^.\n]{0,100}?\bpar\s+arr[êe]t\s+du\s+" + _DAY, 400),
@@ -24,8 +27,8 @@ HEADED = (
     (r"date\s+du\s+jugement\s*[:\-–]?\s*(.{0,30})", None),
     (r"par\s+ordonnance\s+prononc[ée]e?.{0,200}?en\s+date\s+du\s+" + _DAY, 500),
     (r"par\s+jugement\s+du\s+(\d{1,2}(?:er)?\s+\w+\s+\d{4}|\d{1,2}/\d{1,2}/\d{4})", 400),
-    (r"[.,]\s*[A-ZÉÈ][\p{L}\-' ]{2,30}\b[^a-zA-Z0-9]{1,5}le\s+" + _DAY + r"\.", -300),
-    (r"tribunal\s+de\s+première\s+instance.{0,100}?par\s+jugement\s+du\s+(\d{1,2}[./-]\d{1,2}[./-]\d{4}|\d{1,2}(?:er)?\s+\w+\s+\d{4})", None),
+    (r"(?:" + "|".join(CITIES) + r")\b[^a-zA-Z0-9]{1,5}le\s+" + _DAY + r"\.", -300),
+    (JUDGED := r"par\s+jugement\s+du\s+(\d{1,2}[./-]\d{1,2}[./-]\d{4}|\d{1,2}(?:er)?\s+\w+\s+\d{4})", None),
     (r"tribunal\s+de\s+première\s+instance(?:(?!\bn[ée]e?\b).){0,150}?\ble\s+" + _DAY, 300),
     (r"par\s+jugement\s+rendu(?:\s+contradictoirement|\s+par\s+d[ée]faut|\s+en\s+dernier\s+ressort)?\s+le\s+" + _DAY, 800),
     (r"par\s+d[ée]cision\s+prononc[ée]e?\s+le\s+(\d{1,2}(?:er)?[\s/-]\w+[\s/-]\d{4})", None),
@@ -35,6 +38,8 @@ HEADED = (
     (r"jugement\s+rendu\s+le\s+(\d{1,2}\s+\w+\s+\d{4})", None),
     (r"par\s+(?:son\s+)?ordonnance\s+du\s+" + _DAY, None),
 )
+#: Phrases of which the first in the text counts if a court is named in the 100 characters before it.
+NAMED_BEFORE = {JUDGED: "tribunal de première instance"}
 SURE, LIKELY = 0.9, 0.6
 
 
@@ -54,7 +59,12 @@ def judgment_date(text: Column) -> Column:
         rx = "(?iUd)" + phrase
         raw = F.regexp_extract(own, rx, 1)
         value = F.coalesce(F.coalesce(dates.french_date(F.regexp_replace(raw, r"(?<=\d)er\b", "")), dates.to_date(raw)).cast("string"), raw)
-        found = F.when(own.rlike(rx), F.struct(value.alias("date"), F.lit("regex").alias("source"), F.lit(SURE).alias("confidence")))
+        hit = own.rlike(rx)
+        if phrase in NAMED_BEFORE:
+            place = F.regexp_instr(own, F.lit(rx))
+            first = F.greatest(place - 100, F.lit(1))
+            hit = hit & F.contains(F.lower(F.substr(own, first, place - first)), F.lit(NAMED_BEFORE[phrase]))
+        found = F.when(hit, F.struct(value.alias("date"), F.lit("regex").alias("source"), F.lit(SURE).alias("confidence")))
         out = found if out is None else F.coalesce(out, found)
     head = F.regexp_replace(F.substring(t, 1, 500), rf"(?iU)\bn[ée]e?\s+le\s+\d{{1,2}}(?:er)?\s+(?:{dates.MONTH_RX})\s+\d{{4}}", " ")
     first = dates.french_date(F.regexp_replace(head, r"(?<=\d)er\b", ""))

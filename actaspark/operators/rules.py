@@ -2,7 +2,7 @@
 
 A pack is data. Its patterns are regular expressions with the part of the text they look at; its rules say,
 in order, which tag is given under which condition. A condition is a boolean expression over pattern names;
-``before("x")`` holds if an earlier rule gave a tag that starts with x. Rules of one chain are alternatives:
+``before("x")`` holds if an earlier rule, or an earlier pack, gave a tag that starts with x. Rules of one chain are alternatives:
 the first that holds wins. A rule's ``guard`` is a further condition that many rules share. ``{n}`` in a tag
 is the number that the named pattern's group captured.
 
@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import ast
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,8 +63,8 @@ def _matches(text: Column, p: Pattern) -> Column:
 class _Condition(ast.NodeVisitor):
     """Turns a condition into a Column; names are looked up in ``known``."""
 
-    def __init__(self, known: dict[str, Column], given: list[tuple[str, Column]]):
-        self.known, self.given = known, given
+    def __init__(self, known: dict[str, Column], given: list[tuple[str, Column]], earlier: Column | None = None):
+        self.known, self.given, self.earlier = known, given, earlier
 
     def visit_Expression(self, node):
         return self.visit(node.body)
@@ -86,18 +88,20 @@ class _Condition(ast.NodeVisitor):
         for tag, fired in self.given:
             if tag.startswith(starts):
                 out = out | fired
+        if self.earlier is not None:
+            out = out | F.exists(self.earlier, lambda t: reduce(or_, [F.startswith(t, F.lit(s)) for s in starts]))
         return out
 
     def generic_visit(self, node):
         raise ValueError(f"not a condition: {ast.dump(node)}")
 
 
-def tag_array(pack: Pack, known: dict[str, Column], text: Column) -> Column:
-    """The pack's tags, in order, given its patterns' truth."""
+def tag_array(pack: Pack, known: dict[str, Column], text: Column, earlier: Column | None = None) -> Column:
+    """The pack's tags, in order, given its patterns' truth and the tags of earlier packs."""
     given: list[tuple[str, Column]] = []
     out, chains = [], {}
     for rule in pack.rules:
-        of = lambda s: _Condition(known, given).visit(ast.parse(s, mode="eval"))
+        of = lambda s: _Condition(known, given, earlier).visit(ast.parse(s, mode="eval"))
         fired = of(rule.when)
         if rule.guard:
             fired = fired & of(rule.guard)
@@ -116,11 +120,11 @@ def tag_array(pack: Pack, known: dict[str, Column], text: Column) -> Column:
     return F.array_distinct(tags) if pack.distinct else tags
 
 
-def with_tags(df: DataFrame, pack: Pack, text: str = "text", out: str = "tags") -> DataFrame:
-    """``df`` with the pack's tags of ``text``; null texts have none."""
+def with_tags(df: DataFrame, pack: Pack, text: str = "text", out: str = "tags", earlier: Column | None = None) -> DataFrame:
+    """``df`` with the pack's tags of ``text``; null texts have none. ``earlier``: tags of packs that ran before."""
     t = F.coalesce(F.col(text), F.lit(""))
     t = F.substring(t, 1, pack.cut) if pack.cut else t
     flags = F.struct(*[_matches(t, p).alias(name) for name, p in pack.patterns.items()])
     held = f"_{out}_matches"
     known = {name: F.col(f"{held}.{name}") for name in pack.patterns}
-    return df.withColumn(held, flags).withColumn(out, tag_array(pack, known, t)).drop(held)
+    return df.withColumn(held, flags).withColumn(out, tag_array(pack, known, t, earlier)).drop(held)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from actaspark.functions import dates, ids, text
@@ -12,8 +12,16 @@ from actaspark.operators.judgment_date import judgment_date
 from actaspark.operators.packs import appeal, enterprise, first_instance, strike_off
 
 # Fixed value: estates of the dead are not followed.
-ESTATES = r"(?iU)\bsuccessions?\s+(?:vacantes?|en\s+désh[ée]rence)\b"
-PACKS = {"first_instance": (first_instance.PACK, enterprise.PACK), "enterprise": (enterprise.PACK,), "appeal": (appeal.PACK,), "registry": (strike_off.PACK,)}
+ESTATES = r"(?iU)\bsuccessions?\s*(?:de|vacantes?|en\s+d[ée]sh[ée]rences?)\b"
+#: The packs of each stream, in order; rules of one may look at the tags of those before it.
+PACKS = {
+    "first_instance": (first_instance.PACK, enterprise.PACK),
+    "enterprise": (enterprise.PACK,),
+    "appeal": (enterprise.PACK, appeal.PACK, first_instance.PACK),
+    "registry": (strike_off.PACK,),
+}
+#: Each pack is evaluated once, after the packs whose tags its rules look at.
+EVALUATED = (first_instance.PACK, enterprise.PACK, appeal.PACK, strike_off.PACK)
 COURTS = ("first_instance", "enterprise", "appeal")
 
 
@@ -25,25 +33,41 @@ def bronze(links: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.filter(good), rows.filter(~good).select("url", reason.alias("reason"))
 
 
-def silver(rows: DataFrame) -> DataFrame:
+def _joined(stream: Column, tags: list[Column], before: int | None = None) -> Column:
+    """The tags of a row's packs in its stream's order, or of those that stand there before pack ``before``."""
+    out = F.array().cast("array<string>")
+    for name, own in PACKS.items():
+        places = [EVALUATED.index(p) for p in own]
+        if before is not None:
+            places = places[: places.index(before)] if before in places else []
+        if places := [k for k in places if k < len(tags)]:
+            out = F.when(stream == name, F.concat(*[tags[k] for k in places])).otherwise(out)
+    return out
+
+
+def silver(rows: DataFrame, contact_gate: bool = False) -> DataFrame:
     """Numbers, hash, tags, date of judgment and administrators of bronze rows with their stream.
 
     The gates (a court or registry text needs a number; estates are left out of two courts) come before the
-    costly extraction, and each stream only runs its own packs."""
+    costly extraction, and each stream only runs its own packs. With ``contact_gate`` texts of the first
+    instance that give a term of contact get no enterprise tags."""
     rows = rows.withColumn("TVA", F.transform(ids.extract_numbers(F.col("text")), lambda n: ids.format_number(n)))
     needs = F.col("stream").isin(*PACKS)
     estate = F.col("stream").isin("first_instance", "appeal") & F.col("text").rlike(ESTATES)
     rows = rows.filter((~needs | (F.size("TVA") > 0)) & ~estate)
     rows = rows.withColumn("id", text.content_hash(F.col("date_doc"), F.col("text")))
-    packs = list({id(p): p for own in PACKS.values() for p in own}.values())
-    for k, pack in enumerate(packs):
-        streams = [s for s, own in PACKS.items() if pack in own]
-        rows = rows.withColumn("_own", F.when(F.col("stream").isin(*streams), F.col("text")))
-        rows = rules.with_tags(rows, pack, "_own", f"_tags{k}")
-    tags = F.concat(*[f"_tags{k}" for k in range(len(packs))])
+    done: list[Column] = []
+    for k, pack in enumerate(EVALUATED):
+        wanted = F.col("stream").isin(*[s for s, own in PACKS.items() if pack in own])
+        if contact_gate and pack is enterprise.PACK:
+            wanted = wanted & ~((F.col("stream") == "first_instance") & F.exists(done[0], lambda t: F.startswith(t, F.lit("délai de contact"))))
+        rows = rows.withColumn("_own", F.when(wanted, F.col("text")))
+        rows = rules.with_tags(rows, pack, "_own", f"_tags{k}", _joined(F.col("stream"), done, k))
+        done.append(F.col(f"_tags{k}"))
+    tags = _joined(F.col("stream"), done)
     court = F.col("stream").isin(*COURTS)
     rows = rows.withColumns({"extra_keyword": tags, "date_jugement": F.when(court, judgment_date(F.col("text"))), "administrateur": administrators_of(F.when(court, F.col("text")))})
-    return rows.drop("_own", *[f"_tags{k}" for k in range(len(packs))])
+    return rows.drop("_own", *[f"_tags{k}" for k in range(len(EVALUATED))])
 
 
 def gold(extracts: DataFrame, companies: DataFrame, seq: str = "ingest_seq") -> DataFrame:

@@ -159,6 +159,20 @@ def test_decision_pipeline(spark):
     assert pipeline.flat_export(decisions).first()["tva"] == "0123.456.749"
 
 
+def test_packs_of_a_stream(spark):
+    text = "0123.456.749. Ouverture de la faillite de SRL EXEMPLE UN. Un sursis de six mois est accordé à la SRL EXEMPLE. Toute personne intéressée est priée de se manifester dans les trois mois."
+    rows = spark.createDataFrame([(s, text, "2024-03-01") for s in ("appeal", "first_instance", "enterprise", "registry")] + [("appeal", "0123.456.749 succession de M. X", "2024-03-01")], "stream string, text string, date_doc string")
+    tags = {r["stream"]: r["extra_keyword"] for r in pipeline.silver(rows).collect()}
+    opened = "ouverture_faillite_tribunal_de_l_entreprise"
+    assert opened in tags["appeal"] and "sursis" in tags["appeal"] and "délai de contact 3" in tags["appeal"]
+    assert tags["appeal"].index(opened) < tags["appeal"].index("sursis") < tags["appeal"].index("délai de contact 3")
+    assert tags["first_instance"].index("délai de contact 3") < tags["first_instance"].index(opened) and "sursis" not in tags["first_instance"]
+    assert opened in tags["enterprise"] and "délai de contact 3" not in tags["enterprise"] and opened not in tags["registry"]
+    gated = {r["stream"]: r["extra_keyword"] for r in pipeline.silver(rows, contact_gate=True).collect()}
+    assert opened not in gated["first_instance"] and opened in gated["appeal"]
+    assert pipeline.silver(rows).count() == 4
+
+
 def test_stream_appends_once(spark, tmp_path):
     rows = spark.createDataFrame([(f"u{i % 4}", datetime.date(2024, 1, 1), datetime.datetime(2024, 1, 1, i), ["a", "b"]) for i in range(8)], "url string, date_doc date, time timestamp, TVA array<string>")
     for i in range(3):  # the same file three times

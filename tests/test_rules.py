@@ -112,3 +112,31 @@ def test_entities():
 def test_taxonomy():
     assert {k: len(v) for k, v in watch.decision_types().items()} == {"ouverture": 3, "cloture": 4, "faillite": 4, "liquidation": 1, "dissolution": 4, "effacement": 5, "radiation": 9, "condamnation": 1}
     assert dict(watch.tag_suggestions("non_excusable")) == {"non_excusable": "procedures_collectives"}
+
+
+def test_earlier_packs_count(spark):
+    row = spark.createDataFrame([("la faillite de X est déclarée",)], "text string")
+    opened = "ouverture_faillite_tribunal_de_l_entreprise"
+    alone = rules.with_tags(row, enterprise.PACK).first()["tags"]
+    closed = rules.with_tags(row, enterprise.PACK, earlier=F.array(F.lit("cloture_liquidation"))).first()["tags"]
+    assert opened in alone and opened not in closed
+
+
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("x" * 450 + " tribunal de première instance de Mons, par jugement du 3 mai 2024, dit", ("2024-05-03", 0.9)),
+        ("x" * 450 + " par jugement du 3 mai 2024 ... tribunal de première instance, par jugement du 4 mai 2024", ("2024-05-03", 0.9)),
+        ("x" * 700 + ". Liège, le 5 juin 2024.", ("2024-06-05", 0.9)),
+        ("x" * 700 + ". Quelque part, le 5 juin 2024.", None),
+    ],
+)
+def test_judgment_date_places(spark, text, want):
+    got = spark.createDataFrame([(text,)], "t string").select(judgment_date(F.col("t")).alias("r")).first()["r"]
+    assert (got and (got["date"], got["confidence"])) == want
+
+
+def test_names_with_particles():
+    assert entities.person_name("Maître Jean DE SMET, rue Haute 1") == "Jean De Smet"
+    assert entities.person_name("Tribunal de Première Instance") is None and entities.person_name("Me Dupont") is None
+    assert [a["entity"] for a in entities.administrators("Curateur : Maître Jean DE SMET, avocat")] == ["Jean De Smet"]
