@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import math
 import tempfile
@@ -60,8 +61,15 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def batch_bytes(spark: SparkSession, n: int = 4 << 20) -> None:
+    """Bound the Arrow batches between the JVM and Python by bytes: whole texts differ too much for a number of rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", n)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that ``column`` holds about ``limit`` bytes in each; a longer single row stands alone."""
+    """Cut Arrow batches so that ``column`` holds about ``limit`` bytes in each; a longer single row stands alone.
+
+    At the end the worker, which stays for other tasks, gives freed memory back."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -73,6 +81,11 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BY
                 first, total = row, 0
             total += size
         yield batch.slice(first)
+    batch = None
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
 
 
 def odd_sketches(hashes: np.ndarray, sizes: np.ndarray, bits: int) -> np.ndarray:
@@ -119,10 +132,11 @@ class OrderedRanges:
     ``bounds`` are the smallest ids of ranges 1, 2, ... (range 0 also takes nulls); there are as many
     as there are partitions, and they are all that the driver receives."""
 
-    def __init__(self, df: DataFrame, key: str, target_bytes: int, text: str = "text"):
+    def __init__(self, df: DataFrame, key: str, target_bytes: int, text: str = "text", least_bytes: int = 1):
         spark = df.sparkSession
         n_rows, n_bytes = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(text_of(text))), F.lit(0))).first()
-        self.key, self.count = key, max(1, min(n_rows, partitions_for(spark, n_bytes, target_bytes)))
+        few = math.ceil(n_bytes / least_bytes)  # ranges of at least so many bytes, unless target_bytes asks for more ranges
+        self.key, self.count = key, max(1, min(n_rows, partitions_for(spark, n_bytes, target_bytes), max(few, math.ceil(n_bytes / target_bytes))))
         cuts = [i / self.count for i in range(1, self.count)]
         found = df.agg(F.percentile_approx(key, cuts, max(10_000, 20 * self.count))).first()[0] if cuts else None
         self.bounds = sorted({int(x) for x in found or []})

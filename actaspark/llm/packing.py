@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices
+from .common import batch_bytes, slices
 from .tokens import BATCH_BYTES, encoder, shared_spec
 
 PIECES = T.StructType(
@@ -39,10 +39,10 @@ def binary_lengths(n: int, max_len: int) -> list[int]:
     return [max_len] * full + [1 << b for b in range(max_len.bit_length() - 2, -1, -1) if rest >> b & 1]
 
 
-def _cutter(spec, end_id: int, max_len: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _cutter(spec, end_id: int, max_len: int, batch_size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, known = encoder(spec).encode, {}
-        for batch in slices(batches, "text", BATCH_BYTES):
+        for batch in slices(batches, "text", batch_size):
             bounds, data = encode(batch.column("text"), end_id)
             totals = np.diff(bounds)
             for n in np.unique(totals).tolist():
@@ -75,16 +75,18 @@ def _cutter(spec, end_id: int, max_len: int) -> Callable[[Iterator[pa.RecordBatc
     return cut
 
 
-def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, max_len: int = 2048) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, max_len: int = 2048, batch_size: int = BATCH_BYTES) -> DataFrame:
     """Pieces of all documents: doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens,
     bucket (log2 of the length), sequence_id, offset.
 
+    ``batch_size`` is the bytes of text that a worker encodes at once: more take more memory and less time.
     A scan without a shuffle: sequences never hold two documents, so nothing has to meet."""
     if max_len < 1 or max_len & (max_len - 1):
         raise ValueError("max_len must be a power of two")
+    batch_bytes(docs.sparkSession, batch_size)
     spec = shared_spec(docs.sparkSession, tokenizer_path)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    pieces = rows.mapInArrow(_cutter(spec, end_id, max_len), PIECES)
+    pieces = rows.mapInArrow(_cutter(spec, end_id, max_len, batch_size), PIECES)
     return pieces.withColumns({"sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
 
 

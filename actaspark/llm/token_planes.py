@@ -31,7 +31,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import OrderedRanges, shared_dir, slices, stored
+from .common import OrderedRanges, batch_bytes, shared_dir, slices, stored
 from .tokens import BATCH_BYTES, encoder, shared_spec
 
 MAGIC = b"ATPLANE1"
@@ -175,9 +175,10 @@ def write_planes(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int
 
     One shuffle, of (id, text), into ranges of ids; the manifest has a row for each file."""
     spark = docs.sparkSession
+    batch_bytes(spark, BATCH_BYTES)
     spec = shared_spec(spark, tokenizer_path)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ranges = OrderedRanges(rows, "doc_id", target_bytes)
+    ranges = OrderedRanges(rows, "doc_id", target_bytes, least_bytes=2 * BATCH_BYTES)
     dealt = ranges.deal(rows.withColumn("part", ranges.number().cast("long"))).sortWithinPartitions("part", F.asc_nulls_first("doc_id"), F.asc_nulls_first("text"))
     manifest = dealt.mapInArrow(_writer(spec, end_id, f"{folder}/ids", block, planes, level), "part long, file string, n_docs long, n_tokens long, n_blocks long")
     manifest = stored(manifest, "manifest", f"{folder}/written")

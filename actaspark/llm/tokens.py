@@ -31,8 +31,10 @@ _SIGNS = r"!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~"
 _PLAIN = re.compile(f"^( ?[{_LETTERS}]+)([{_SIGNS}]*)$", re.M)
 #: Units of one string for the model; a unit is remembered up to a length if a batch has it often enough.
 _CHUNK, _LONG, _OFTEN = 100, 64, 3
+#: New units that are encoded at once; the library needs some hundred bytes for each.
+_BLOCK = 20_000
 #: Text bytes that are best encoded at once: few words are new in a large batch.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 12 << 20
 
 
 def _byte_letters() -> dict[int, str]:
@@ -49,7 +51,7 @@ class TextEncoder:
 
     Two generations of at most ``limit`` units are remembered."""
 
-    def __init__(self, spec: str, limit: int = 100_000):
+    def __init__(self, spec: str, limit: int = 80_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer, self.limit = Tokenizer.from_str(spec), limit
         pre, model = self.tokenizer.pre_tokenizer, self.tokenizer.model
@@ -96,20 +98,22 @@ class TextEncoder:
 
     def _cuts(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Places of ``data`` where a unit begins."""
-        n = len(data)
+        n, step = len(data), 1 << 20
         cut = np.zeros(n, bool)
-        if self.by_unit and n > 1:
-            blank = _IS_BLANK[data]
-            word_next = np.append(~blank[1:], False)
-            word_next[starts[1:-1][(starts[1:-1] > 0) & (starts[1:-1] <= n)] - 1] = False
-            before, now = blank[:-1], blank[1:]
-            # a white-space run begins; its last character stands apart; a word follows what isn't a space
-            cut[1:] = now & (~before | word_next[1:]) | ~now & before & (data[:-1] != 32)
+        if self.by_unit:
+            blank = np.append(_IS_BLANK[data], True)
+            ends = starts[1:] - 1  # no word follows the last character of a text
+            for a in range(1, n, step):
+                b = min(n, a + step)
+                before, now, word_next = blank[a - 1 : b - 1], blank[a:b], ~blank[a + 1 : b + 1]
+                word_next[ends[(ends >= a) & (ends < b)] - a] = False
+                # a white-space run begins; its last character stands apart; a word follows what isn't a space
+                cut[a:b] = now & (~before | word_next) | ~now & before & (data[a - 1 : b - 1] != 32)
             raw = data.tobytes()
             for place in {int(np.searchsorted(starts, m.start(), "right")) - 1 for m in self.odd.finditer(raw)}:
                 cut[starts[place] : starts[place + 1]] = False
         cut[starts[:-1][starts[:-1] < starts[1:]]] = True
-        return np.flatnonzero(cut)
+        return np.flatnonzero(cut).astype(np.int32)
 
     def encode(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, pa.Buffer]:
         """(bounds, data): the ids of text i are those from bounds[i] to bounds[i + 1]; null counts as empty.
@@ -121,15 +125,19 @@ class TextEncoder:
         data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.empty(0, np.uint8)
         starts = offsets - offsets[0]
         at = self._cuts(data, starts)
-        units = pa.Array.from_buffers(pa.string(), len(at), [None, pa.py_buffer(np.append(at, len(data)).astype(np.int32)), pa.py_buffer(data)]).dictionary_encode()
+        units = pa.Array.from_buffers(pa.string(), len(at), [None, pa.py_buffer(np.append(at, np.int32(len(data)))), pa.py_buffer(data)]).dictionary_encode()
         names = units.dictionary.to_pylist()
         got = list(map(self.known.get, names))
         gaps = [i for i, ids in enumerate(got) if ids is None]
-        found = {u: self.old[u] for u in map(names.__getitem__, gaps) if u in self.old}
-        if len(found) < len(gaps):
-            found.update(self._made([u for u in map(names.__getitem__, gaps) if u not in found]))
-        for i in gaps:
-            got[i] = found[names[i]]
+        again = [i for i in gaps if names[i] in self.old]
+        for i in again:
+            got[i] = self.old[names[i]]
+        new = [i for i in gaps if got[i] is None]
+        for first in range(0, len(new), _BLOCK):
+            block = new[first : first + _BLOCK]
+            made = self._made([names[i] for i in block])
+            for i in block:
+                got[i] = made[names[i]]
         numbers = units.indices.to_numpy()
         often = np.bincount(numbers, minlength=len(names)) >= _OFTEN
         self.known.update([(names[i], got[i]) for i in gaps if often[i] and len(names[i]) <= _LONG])
@@ -155,6 +163,13 @@ def shared_spec(spark: SparkSession, path: str) -> Broadcast:
         return spark.sparkContext.broadcast(f.read())
 
 
+_encoders: dict[int, TextEncoder] = {}
+
+
 def encoder(spec: Broadcast) -> TextEncoder:
-    """An encoder for one task; what it remembers ends with the task, so a worker that goes on to other work is lean."""
-    return TextEncoder(spec.value)
+    """One encoder for each Python worker; it outlives a task, with two generations of frequent units (some 20 MB each)."""
+    key = hash(spec.value)
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = TextEncoder(spec.value)
+    return _encoders[key]
