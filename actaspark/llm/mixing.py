@@ -6,13 +6,15 @@ what is left of the target is filled with a weighted sample without replacement:
 order of the key -ln(u) / w, u being a hash of the document and w its quality weight, and their words are
 summed along that order until the budget is used up. Documents that no longer fit are passed over, and the
 remaining gap is filled in further passes along the same order, so a long document at the end of a budget
-leaves no large hole.
+leaves no large hole. The last pass takes documents as long as each brings the sum nearer to the target, also
+one that is longer than the gap, so what is missing or too much in the end is at most half a document.
 
-No source is ever sorted as a whole: keys are summed by a fixed number of key classes for each source, and
-only the class in which the budget ends is ordered. Texts are never shuffled.
+No source is ever sorted as a whole: keys are summed by classes of equal ratio, which hold small shares of a source
+whatever its weights, and only the class in which the budget ends is ordered. Texts are never shuffled.
 
 Defined results: null text has no words; null sources are one source, last in order; a source without words
-has target 0; wholly equal rows tie and are taken or left together; an empty table gives no rows."""
+has target 0; very long documents count whole; wholly equal rows tie and are taken or left together; columns
+named ``mix_*`` are replaced, others stay whatever their names; an empty table gives no rows."""
 
 from __future__ import annotations
 
@@ -22,8 +24,8 @@ from pyspark.sql import functions as F
 
 from .common import WORD, forget, stored, text_of
 
-#: Key classes of a source.
-CLASSES = 4096
+#: Key classes of a factor of two; keys lie between 2 ** -60 and 2 ** 60.
+CLASSES, LAST_CLASS = 4096, 60 * 4096
 #: Sources whose plan (some hundred bytes each) is broadcast.
 MAX_BROADCAST_SOURCES = 20_000
 
@@ -45,7 +47,7 @@ def with_keys(docs: DataFrame, seed: int, weight: Column | None = None) -> DataF
     u = (F.shiftrightunsigned("mix_tie", 11).cast("double") + 0.5) * (2.0**-53)
     key = -F.log(u) / F.greatest(weight if weight is not None else quality_weight(), F.lit(1e-6))
     keyed = docs.withColumns({"mix_size": n_words(), "mix_tie": tie}).withColumn("mix_key", key)
-    return keyed.withColumn("mix_class", F.least(F.floor((1 - F.exp(-F.col("mix_key"))) * CLASSES), F.lit(CLASSES - 1)).cast("int"))
+    return keyed.withColumn("mix_class", F.floor(F.log2("mix_key") * CLASSES).cast("int"))
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3) -> DataFrame:
@@ -90,13 +92,14 @@ def _by_source(rows: DataFrame, plan: DataFrame, n_sources: int) -> DataFrame:
 def _step(keys: DataFrame, plan: DataFrame, n_sources: int, last: bool) -> DataFrame:
     """``plan`` with one more step for each source."""
     rows = _by_source(keys, plan.select("source", "steps", "rest"), n_sources)
-    rows = rows.filter((F.col("rest") > 0) & (F.col("mix_size") > 0) & (F.col("mix_size") <= F.col("rest")) & ~F.exists("steps", _within))
+    longest = F.col("rest") * (2 if last else 1)
+    rows = rows.filter((F.col("rest") > 0) & (F.col("mix_size") > 0) & (F.col("mix_size") <= longest) & ~F.exists("steps", _within))
     classes = rows.groupBy("source", "mix_class").agg(F.sum("mix_size").alias("n"), F.first("rest").alias("rest"))
     upto = Window.partitionBy("source").orderBy("mix_class").rowsBetween(Window.unboundedPreceding, 0)
     classes = classes.withColumn("upto", F.sum("n").over(upto))
     # the class in which the budget ends; without one every candidate fits
     ends = classes.groupBy("source").agg(
-        F.coalesce(F.min(F.when(F.col("upto") > F.col("rest"), F.col("mix_class"))), F.lit(CLASSES)).alias("cls"),
+        F.coalesce(F.min(F.when(F.col("upto") > F.col("rest"), F.col("mix_class"))), F.lit(LAST_CLASS)).alias("cls"),
         F.coalesce(F.max(F.when(F.col("upto") <= F.col("rest"), F.col("upto"))), F.lit(0)).alias("below"),
     )
     at = ends.withColumnsRenamed({"source": "end_source"})
@@ -109,7 +112,7 @@ def _step(keys: DataFrame, plan: DataFrame, n_sources: int, last: bool) -> DataF
     found = a.join(b, F.col("a.source").eqNullSafe(F.col("b.source")), "left").select("a.source", "cls", "below", "last", "used")
     p, f = plan.alias("p"), found.alias("f")
     joined = p.join(f, F.col("p.source").eqNullSafe(F.col("f.source")), "left")
-    step = F.when(F.col("f.cls").isNotNull(), F.array(F.struct(F.col("p.rest").alias("gap"), F.col("f.cls").alias("cls"), F.col("f.last").alias("last"))))
+    step = F.when(F.col("f.cls").isNotNull(), F.array(F.struct((F.col("p.rest") * (2 if last else 1)).alias("gap"), F.col("f.cls").alias("cls"), F.col("f.last").alias("last"))))
     rest = F.greatest(F.lit(0.0), F.col("p.rest") - F.coalesce(F.col("f.used"), F.col("f.below"), F.lit(0)))
     steps = F.when(step.isNotNull(), F.concat(F.col("p.steps"), step)).otherwise(F.col("p.steps"))
     return joined.select("p.source", "p.source_size", "p.target", "p.epochs", steps.alias("steps"), rest.alias("rest"))
