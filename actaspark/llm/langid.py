@@ -11,9 +11,15 @@ The sequential recurrences run over all documents of a batch together: texts are
 each block's transfer matrix is computed, blocks are chained, and then all blocks are swept at once. This is
 exact and takes long documents in their stride.
 
+The model is fitted on the driver, on a window of words of each document of a bounded sample (``learn``): at most
+``per_language`` distinct texts of each label and ``WINDOW`` words of each, so labels are expected to be a set of
+languages (some hundreds at most).
+
 Defined results: null text, or text without a letter, is ``und`` with score 0 and no spans; without labelled
 documents everything is ``und``; with one language all words have it; ties go to the first language by code
-point; an empty table gives no rows."""
+point; very long texts and very long words are labelled whole; repeated rows get equal labels, and repeated texts
+count once in the sample; columns named as the added ones are replaced, others stay whatever their names; an
+empty table gives no rows."""
 
 from __future__ import annotations
 
@@ -27,24 +33,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import batch_bytes, slices, stored
 
 _WORDS = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 18
 ORDERS = (1, 2, 3, 4, 5)
 BLOCK = 64
-#: Longer letter runs count with their first and last letters for features; labels still cover them.
-_LONGEST = 64
+#: Words of a document that the fit may see.
+WINDOW = 128
+#: Labels whose counts (a few bytes each) are broadcast; more are joined by a shuffle.
+MAX_BROADCAST_LANGUAGES = 10_000
 
 
 def words(text: str | None) -> list[str]:
-    return _WORDS.findall(text.lower()) if text else []
+    """Runs of letters, in lower case."""
+    if not text:
+        return []
+    found = _WORDS.findall(text.lower())
+    if text.isascii() or all(map(str.isalpha, found)):
+        return found
+    # numerals that aren't digits, such as fractions, count as word characters there
+    return [w for run in found for w in "".join(c if c.isalpha() else " " for c in run).split()]
 
 
 def word_features(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(word, bucket) of every feature of ``tokens``: bordered character n-grams, and the word."""
-    short = [w if len(w) <= _LONGEST else w[:32] + w[-32:] for w in tokens]
-    chars = np.frombuffer(("\n" + "\n".join(short) + "\n").encode("utf-32-le"), np.uint32).astype(np.uint64)
+    chars = np.frombuffer(("\n" + "\n".join(tokens) + "\n").encode("utf-32-le"), np.uint32).astype(np.uint64)
     border = chars == 10
     upto = np.cumsum(border)
     owners, buckets = [], []
@@ -197,9 +211,13 @@ def fit(texts: list[list[str]], labels: np.ndarray, languages: tuple[str, ...],
         g_e, g_t, g_s = np.full((BUCKETS, m), 1e-6), np.full((m, m), 1e-6), np.full(m, 1e-6)
         tokens, gold = spliced(texts, labels, sequences, length, rng)
         vocabulary = {w: i for i, w in enumerate(dict.fromkeys(tokens))}
-        owner, bucket = word_features(list(vocabulary))
-        order = np.argsort(owner, kind="stable")
-        owner, bucket = owner[order], bucket[order]
+        names, owners, buckets = list(vocabulary), [], []
+        for begin in range(0, len(names), 10_000):
+            owner, bucket = word_features(names[begin : begin + 10_000])
+            order = np.argsort(owner, kind="stable")
+            owners.append((owner[order] + begin).astype(np.int32))
+            buckets.append(bucket[order].astype(np.int32))
+        owner, bucket = np.concatenate(owners), np.concatenate(buckets)
         first = np.searchsorted(owner, np.arange(len(vocabulary) + 1))
         ids = np.array([vocabulary[w] for w in tokens])
         for _ in range(epochs):
@@ -229,28 +247,45 @@ def fit(texts: list[list[str]], labels: np.ndarray, languages: tuple[str, ...],
     return Model(languages, emission.astype(np.float32), transition, start)
 
 
-def learn(labelled: DataFrame, per_language: int = 1500, max_chars: int = 20_000, **options) -> Model | None:
-    """Fit on a bounded sample of (text, lang): about ``per_language`` documents of each language, chosen by a
-    hash of the text among those of at most ``max_chars`` characters. None without any."""
-    rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= max_chars)).select("text", "lang")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    draw = F.lit(False)
-    for lang, n in counts.items():
-        share = min(1.0, per_language / n)
-        draw = draw | ((F.col("lang") == lang) & (F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < int(share * 1_000_003) + 1))
-    sample = sorted((r["lang"], r["text"]) for r in rows.filter(draw).collect()) if counts else []
-    sample = [(lang, w) for lang, text in sample if (w := words(text))]
+def _windows(size: int):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 2 << 20):
+            parts = []
+            for text, draw in zip(batch.column("text").to_pylist(), batch.column("draw").to_pylist()):
+                own = words(text)
+                begin = draw % max(1, len(own) - size + 1)
+                parts.append("\n".join(own[begin : begin + size]))
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("draw"), pa.array(parts, pa.string())], names=["lang", "draw", "words"])
+
+    return cut
+
+
+def learn(labelled: DataFrame, per_language: int = 1500, window: int = WINDOW, **options) -> Model | None:
+    """Fit on a bounded sample of (text, lang): about ``per_language`` distinct texts of each language, chosen by a
+    hash of the text, and of each a window of at most ``window`` words, at a place that the hash gives. Every
+    labelled text may be drawn, however long. None without any.
+
+    The driver receives the windows, and a count for each language."""
+    batch_bytes(labelled.sparkSession)
+    rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang", F.xxhash64("text").alias("draw"))
+    counts = stored(rows.groupBy(F.col("lang").alias("own")).agg(F.approx_count_distinct("draw").alias("n")), "languages")
+    counts = F.broadcast(counts) if counts.count() <= MAX_BROADCAST_LANGUAGES else counts
+    below = F.least(F.lit(1_000_003.0), F.ceil(F.lit(per_language * 1_000_003.0) / F.col("n")))
+    drawn = rows.join(counts, F.col("lang") == F.col("own")).filter(F.pmod("draw", F.lit(1_000_003)) < below).select("text", "lang", "draw")
+    parts = drawn.mapInArrow(_windows(window), "lang string, draw long, words string").filter("words <> ''")
+    sample = sorted((r["lang"], r["draw"], r["words"]) for r in parts.dropDuplicates(["lang", "draw"]).collect())
     if not sample:
         return None
-    languages = tuple(sorted({lang for lang, _ in sample}))
-    return fit([w for _, w in sample], np.array([languages.index(lang) for lang, _ in sample]), languages, **options)
+    languages = tuple(sorted({lang for lang, _, _ in sample}))
+    own = {lang: k for k, lang in enumerate(languages)}
+    return fit([w.split("\n") for _, _, w in sample], np.array([own[lang] for lang, _, _ in sample]), languages, **options)
 
 
 class Labeller:
-    """Labels batches of texts; remembers the emissions of the words it has met."""
+    """Labels batches of texts; remembers the emissions of the words it has met, up to ``limit`` characters of them."""
 
-    def __init__(self, model: Model, limit: int = 300_000):
-        self.model, self.limit, self.rows = model, limit, {}
+    def __init__(self, model: Model, limit: int = 1_500_000):
+        self.model, self.limit, self.rows, self.held = model, limit, {}, 0
         self.table = np.empty((0, len(model.languages)), np.float32)
 
     def _ids(self, tokens: list[str]) -> np.ndarray:
@@ -258,10 +293,12 @@ class Labeller:
         ids = [get(w, -1) for w in tokens]
         if min(ids) < 0:
             new = list(dict.fromkeys(w for w, i in zip(tokens, ids) if i < 0))
-            if len(self.rows) + len(new) > self.limit and self.rows:
-                self.rows.clear()
-                self.table = self.table[:0]
+            size = sum(map(len, new))
+            if self.held + size > self.limit and self.rows:
+                self.rows, self.held = {}, 0
+                self.table = self.table[:0].copy()
                 return self._ids(tokens)
+            self.held += size
             self.rows.update(zip(new, range(len(self.table), len(self.table) + len(new))))
             self.table = np.concatenate([self.table, self.model.emissions(new)])
             ids = [self.rows[w] for w in tokens]

@@ -147,3 +147,18 @@ def test_language(spark, odd_docs, no_docs):
     assert langid.label(no_docs, model).count() == 0
     assert langid.learn(train.limit(0)) is None
     assert {r["lang_pred"] for r in langid.label(odd_docs, None).collect()} == {"und"}
+
+
+def test_numerals_are_no_letters():
+    assert langid.words("\u00bd \u00b2 \u2460 \u2461 12_3") == [] and langid.words("a\u00bdb c\u00b2") == ["a", "b", "c"]
+    assert langid.words("\u00c9t\u00e9 na\u00efve") == ["\u00e9t\u00e9", "na\u00efve"]
+
+
+def test_long_texts_are_learned(spark):
+    """A language whose texts are all long is learned too, from windows; copies of a text count once."""
+    long = "le chat dort sur la chaise " * 3000
+    rows = [(long + f"fin{i}", "fr") for i in range(5)] + [("the dog sleeps under the table", "en")] * 50 + [(f"a dog number {i} sleeps", "en") for i in range(5)]
+    model = langid.learn(spark.createDataFrame(rows, "text string, lang string"), per_language=20)
+    assert model.languages == ("en", "fr")
+    docs = spark.createDataFrame([(1, "le chat dort"), (2, "the dog sleeps"), (3, "12 \u00bd")], "doc_id long, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in langid.label(docs, model).collect()} == {1: "fr", 2: "en", 3: "und"}
