@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import may_differ, odd_sketches, slices, stored
+from .common import batch_bytes, may_differ, odd_sketches, slices, stored
 from .graph import linked_groups
 
 BANDS, ROWS, BITS, ODD = 40, 6, 2, 1024
@@ -173,6 +173,7 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
     """Per document: doc_id, row (hash of its text), n_shingles, component_id, kept, node (equal for equal sets).
 
     Links: 100 * intersection >= ``percent`` * union of the full sets."""
+    batch_bytes(docs.sparkSession)
     signed = stored(signatures(docs, width, bands, rows), "signatures")
     clashes = signed.groupBy("node").agg(F.min("check").alias("lo"), F.max("check").alias("hi")).filter("lo <> hi")
     clashes = stored(clashes.select(F.col("node").alias("clash")), "clashes")

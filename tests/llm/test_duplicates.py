@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from actaspark.llm import graph, line_dedup, minhash
-from actaspark.llm.common import stored
+from actaspark.llm.common import odd_sketches, stored
 
 
 def roots(n, edges):
@@ -220,3 +220,62 @@ def test_rows_without_an_id_or_with_one_id_twice(spark):
     left = minhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
     got = sorted((str(r["doc_id"]), str(r["text"]).removesuffix(" more")) for r in left.collect())
     assert got == sorted([("3", x), ("7", y), ("None", z), ("None", near), ("None", "None"), ("None", "None")])
+
+
+def test_line_groups_against_edit_distance(spark):
+    """Links by brute force over all pairs, without SimHash and keys."""
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(4000)]
+    lines = []
+    for n in [5, 6, 8, 10, 13, 17, 22, 30, 40, 50] * 6:
+        line = rng.choices(vocabulary, k=n)
+        lines.append(line)
+        for share in (0.0, 1.0):  # one edit, and as many as a link allows
+            other = list(line)
+            for _ in range(max(1, int(share * 0.2 * n))):
+                at = rng.randrange(len(other))
+                other[at : at + rng.choice((0, 1, 1))] = rng.choices(vocabulary, k=1)
+            lines.append(other)
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(lines)], "doc_id long, text string")
+    got = {r["doc_id"]: r["class_doc_id"] for r in line_dedup.line_groups(docs).collect()}
+    linked = [(i, j) for i in range(len(lines)) for j in range(i) if line_dedup.similar(" ".join(lines[i]), " ".join(lines[j]))]
+    assert len(linked) > 100
+    assert sum(got[i] == got[j] for i, j in linked) >= 0.97 * len(linked)
+    root = list(range(len(lines)))
+    for i, j in linked:
+        a, b = root[i], root[j]
+        root = [min(a, b) if r in (a, b) else r for r in root]
+    assert all(root[i] == root[got[i]] for i in got)  # no group joins lines that no chain of links joins
+
+
+def test_odd_sketches_bound_differences(spark):
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 1 << 63, 900, np.uint64)
+    sets = [np.unique(base[rng.random(900) < p]) for p in (0.2, 0.5, 0.9, 0.95, 1.0)]
+    marks = odd_sketches(np.concatenate(sets), np.array([len(s) for s in sets]), 1024)
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            bits = int(np.unpackbits((marks[i] ^ marks[j]).view(np.uint8)).sum())
+            assert bits <= len(np.setxor1d(x, y)) and (i != j or bits == 0)
+
+
+def test_many_nearly_linked(spark):
+    """A base and copies that are near it but mostly not near each other: as by brute force over all pairs."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(90):
+        own = list(base)
+        for at in rng.sample(range(120), rng.randint(1, 6)):
+            own[at] = f"x{i}-{at}"
+        texts.append(" ".join(own))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [set(minhash.shingles(t, 4).tolist()) for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = root[i], root[j]
+                root = [min(a, b) if r in (a, b) else r for r in root]
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_groups(docs, width=4).collect()}
+    assert got == dict(enumerate(root))
