@@ -3,7 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it as Parquet and hands the
 table that it reads back to the next stage. All but the last return the columns of ``documents``.
 
-Defined results for an empty table: no rows. Null texts have no language and leave at the first stage."""
+Defined results for an empty table: no rows. Null texts have no language and leave at the first stage, and so do
+empty ones. Repeated rows and ties: one stays (lines by first occurrence, documents by least doc_id); null ids are kept
+apart by their texts. Very long texts are read whole in every stage. Further columns pass through, whatever their
+names, up to the last stage, which has its own."""
 
 from __future__ import annotations
 
@@ -16,6 +19,10 @@ from actaspark.llm.queries import tokenizer_file
 from actaspark.plans.shipping import ship
 
 
+#: Text bytes that a worker packs at once; executors still hold what earlier stages needed.
+PACK_BATCH = 4 << 20
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a recognised language go."""
     ship(spark)
@@ -45,7 +52,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of power-of-two length."""
     ship(spark)
-    return packing.pack(docs, tokenizer_file())
+    return packing.pack(docs, tokenizer_file(), batch_size=PACK_BATCH)
 
 
 STAGES = [
