@@ -6,10 +6,13 @@ in use, writes what it finds, and joins the findings back to every path and vers
 Rules carry a version, so a changed rule set scans every blob anew and leaves older findings as they are.
 
 Only hashes are grouped and joined. A text is moved once, to the place of its path and version (not of its
-blob: a third of all rows may share one), and scanned if that row stands for its blob.
+blob: a third of all rows may share one), and scanned if that row stands for its blob. Findings, which few blobs
+have, are joined back by blob and a salt of path and version, so a blob of many paths is dealt over several tasks.
 
 Defined results: null text is empty and has no findings; null paths are joined null-safely; repeated rows
-appear as often as they are given; an empty table gives no rows."""
+appear as often as they are given; a very long text is scanned whole; findings at one place are in the order of
+their rules; columns of ``files`` other than path, version and text are left out, whatever their names; an empty
+table gives no rows."""
 
 from __future__ import annotations
 
@@ -24,6 +27,8 @@ from pyspark.sql import functions as F
 from .common import shared_dir, slices, text_of
 
 FINDINGS = "array<struct<kind:string,start:int,end:int>>"
+#: Parts that the paths of one blob are dealt into; blobs with findings are repeated as often.
+SALTS = 16
 BASE_KINDS = ("assign", "access", "hex")
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -133,9 +138,11 @@ class BlobLedger:
         """``files`` (path, version, text) without their texts, with blob and findings; all blobs must have been scanned.
 
         A repeated row may have been scanned twice, so the ledger's rows of a blob count once."""
-        known = self._known().dropDuplicates(["blob"]).select("blob", "findings")
-        rows = files.select("path", "version", blob_of("text").alias("blob"))
-        return rows.join(known, "blob", "left").select("path", "version", "blob", F.coalesce("findings", F.array().cast(FINDINGS)).alias("findings"))
+        known = self._known().filter(F.size("findings") > 0).dropDuplicates(["blob"])
+        known = known.select("blob", "findings", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        salt = F.pmod(F.xxhash64("path", "version"), F.lit(SALTS)).cast("int")
+        rows = files.select("path", "version", blob_of("text").alias("blob"), salt.alias("salt"))
+        return rows.join(known, ["blob", "salt"], "left").select("path", "version", "blob", F.coalesce("findings", F.array().cast(FINDINGS)).alias("findings"))
 
 
 def blob_of(column: str) -> Column:
