@@ -25,9 +25,11 @@ SLICE_BYTES = 8 << 20
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new path below the folder that driver and executors share (``spark.checkpoint.dir``).
 
-    Only where that setting is absent, as in local tests, a temporary folder is made."""
+    Only where that setting is absent in local mode, as in tests, a temporary folder is made."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = f"file://{tempfile.mkdtemp(prefix='actaspark-')}"
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -9,7 +9,8 @@ compared up to the lower of their limits.
 
 Defined results: null text is empty; an empty text has an empty sketch, like only another empty one (1.0,
 otherwise 0.0); a text shorter than a shingle is one shingle; rows with one doc_id are ordered by text, null
-ids first; the next document of a single row is itself; an empty table gives no rows."""
+ids first; the next document of a single row is itself; a very long text is read whole; repeated rows give a row
+each, with equal fingerprints; further columns are left out, whatever their names; an empty table gives no rows."""
 
 from __future__ import annotations
 

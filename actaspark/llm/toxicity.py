@@ -12,7 +12,8 @@ these (or the best one, if none is); a logistic curve, fitted to the evidence of
 documents that had no part in the counts, turns it into a probability.
 
 Defined results: null or empty text, and text without letters, has the evidence of no segment and so a low
-score; labels other than 0 and 1 are left out; without labelled documents of both kinds every score is the
+score; a very long text is scored whole; the score depends on the text alone, so repeated rows and equal texts score alike;
+columns named ``score`` and ``passages`` are replaced, others stay; labels other than 0 and 1 are left out; without labelled documents of both kinds every score is the
 share of toxic ones (0 without any); an empty table gives no rows."""
 
 from __future__ import annotations
