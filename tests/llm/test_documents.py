@@ -115,6 +115,36 @@ def test_png_filters_and_checks():
             media.decode_png(bad)
 
 
+def test_encoder_filters_and_damaged_pictures(spark):
+    slope = np.add.outer(np.arange(9), 3 * np.arange(40)).astype(np.uint8)
+    good = media.encode_png(slope)
+    body = dict(media.chunks(good))[b"IDAT"]
+    assert zlib.decompress(body)[0] in (1, 2) and (media.decode_png(good)[:, :, 0] == slope).all()
+    assert zlib.decompress(dict(media.chunks(media.encode_png(np.zeros((2, 3), np.uint8))))[b"IDAT"])[0] == 0
+    head = lambda *h: media.SIGNATURE + media._chunk(b"IHDR", struct.pack(">IIBBBBB", *h)) + media._chunk(b"IDAT", body) + media._chunk(b"IEND", b"")
+    bad = [good[:-3], b"", b"no", head(40, 9, 8, 3, 0, 0, 0), head(40, 9, 16, 0, 0, 0, 0), head(40, 9, 8, 0, 0, 0, 1), head(1 << 30, 1 << 30, 8, 0, 0, 0, 0), head(0, 9, 8, 0, 0, 0, 0), head(41, 9, 8, 0, 0, 0, 0), good.replace(body, body[:5])]
+    bad.append(media.SIGNATURE + media._chunk(b"IHDR", b"short") + media._chunk(b"IEND", b""))
+    bad.append(media.SIGNATURE + media._chunk(b"IHDR", struct.pack(">IIBBBBB", 40, 9, 8, 0, 0, 0, 0)) + media._chunk(b"IDAT", b"not deflated") + media._chunk(b"IEND", b""))
+    rows = [(0, bytearray(good), "kept"), (1, None, None), *((k + 2, bytearray(b), "x") for k, b in enumerate(bad))]
+    got = {r["n"]: r for r in media.picture_features(spark.createDataFrame(rows, "n long, media binary, width string")).collect()}
+    assert got[0]["problem"] is None and (got[0]["width"], got[0]["height"]) == (40, 9)
+    assert all(v is None for k, v in got[1].asDict().items() if k != "n")
+    for k in range(len(bad)):
+        r = got[k + 2]
+        assert r["problem"] and r["cosine_hash"] is None and r["payload_sha256"] is None and r["media_bytes"] == len(bad[k])
+
+
+def test_paths_of_one_blob_keep_their_findings(spark, tmp_path):
+    """A blob of many paths is dealt by salt; every path gets the findings all the same."""
+    secret, plain = "token = abcdefgh12345678", "nothing here"
+    rows = [(i if i else None, i % 2, secret if i % 3 else plain) for i in range(200)] + [(7, 1, secret)] * 2
+    files = spark.createDataFrame(rows, "path long, version int, text string")
+    ledger = secret_ledger.BlobLedger(spark, f"file://{tmp_path}/salted")
+    ledger.scan(files)
+    got = sorted(((r["path"] or 0, r["version"], len(r["findings"])) for r in ledger.findings(files).collect()))
+    assert got == sorted((p or 0, v, int(t == secret)) for p, v, t in rows)
+
+
 def test_cosine_hash():
     smooth = np.kron(np.random.default_rng(3).integers(20, 230, (8, 12)), np.ones((8, 8))).astype(np.uint8)
     noisy = np.clip(smooth.astype(int) + np.random.default_rng(1).integers(-2, 3, smooth.shape), 0, 255).astype(np.uint8)

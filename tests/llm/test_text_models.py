@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -72,6 +73,43 @@ def test_toxicity_held_out(spark, no_docs):
     assert all(r["score"] < 0.5 for r in toxicity.score(rows, empty).collect())
 
 
+def test_learned_scores_against_brute_force(spark):
+    """Log odds, significance and the extreme-value constant from plain counts."""
+    rows = labelled(spark)
+    model = toxicity.learn(rows.filter(fold() != 0), fold() == 4)
+    part = {0: [], 1: []}, {0: [], 1: []}
+    for r in rows.withColumn("fold", fold()).filter("fold <> 0 and label is not null").collect():
+        part[r["fold"] == 4][r["label"]].append(toxicity.words(r["text"] or ""))
+    count = {y: Counter(f for t in part[0][y] for w in t for f in [w, *(w[:n] + "*" for n in (4, 5, 6, 7) if len(w) >= n)]) for y in (0, 1)}
+    n1, n0 = (sum(len(t) for t in part[0][y]) for y in (1, 0))
+    want = {}
+    for f, a in count[1].items():
+        b = count[0][f]
+        rate = (a + b) / (n1 + n0)
+        odds = ((a + 2 * rate) / (n1 + 2)) / ((b + 2 * rate) / (n0 + 2))
+        s = math.log(0.3 * min(odds, 2000.0) + 0.7)
+        g = a * math.log(a / (rate * n1)) + (b * math.log(b / (rate * n0)) if b else 0.0)
+        if a >= 3 and odds > 1 and math.sqrt(max(2 * g, 0.0)) >= 4.5 and s > 1:
+            want[f] = s
+    assert set(model.scores) == set(want)
+    assert all(abs(model.scores[f] - s) < 1e-6 for f, s in want.items())
+    hits, mass = 0, 0.0
+    for t in part[1][0]:
+        values = [max([want[f] for f in toxicity.features(w) if f in want], default=math.log(0.7)) for w in t]
+        best = max((s for *_, s in brute_best(values)), default=0.0)
+        hits, mass = hits + (best > 0), mass + len(t) * math.exp(-best)
+    assert abs(model.log_k - math.log((hits + 0.5) / (mass + 1.0))) < 1e-6
+
+
+def brute_best(values):
+    """The best run of ``values``, if it is positive."""
+    best = now = 0.0
+    for v in values:
+        now = max(0.0, now + v)
+        best = max(best, now)
+    return [(0, 0, best)] if best > 0 else []
+
+
 def brute_marginals(e, t, s):
     n, m = e.shape
     p, total = np.zeros((n, m)), 0.0
