@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from actaspark.functions import dates, ids, text
-from actaspark.operators import enrich, merge, quality, rules, search, watch
+from actaspark.operators import company, enrich, merge, quality, rules, search, watch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -437,7 +438,9 @@ def q42_windows_batch(t):
     return rows.select(F.col("w.start").cast("timestamp_ntz").alias("start"), "event_type", "n", "total")
 
 
-@query()
+@query("""WITH gaps AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL 2 HOUR THEN 0 ELSE 1 END AS fresh FROM events),
+numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM gaps)
+SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 2 HOUR AS stop, count(*) AS n FROM numbered GROUP BY user_id, s""")
 def q42b_sessions(t):
     """Sessions of a user with gaps of at most two hours."""
     rows = t("events").groupBy("user_id", F.session_window(F.col("ts").cast("timestamp"), "2 hours").alias("w")).agg(F.count(F.lit(1)).alias("n"))
@@ -465,13 +468,64 @@ def q46_pricing(t):
     return rows.groupBy("l_returnflag", "l_linestatus").agg(F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("sum_qty"), F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("sum_price"), F.count(F.lit(1)).alias("n"))
 
 
+@query("SELECT o_orderkey, a || ',' || b AS numbers FROM (SELECT o_orderkey, lpad(o_orderkey::VARCHAR, 8, '0') || lpad((97 - o_orderkey % 97)::VARCHAR, 2, '0') AS a, lpad((o_custkey + 90000000)::VARCHAR, 8, '0') || '00' AS b FROM orders)")
+def q48_numbers_in_text(t):
+    """numbers of a text, those written 4-3-3 before those written 5-5, each once, institutions left out."""
+    key = F.col("o_orderkey")
+    a = F.concat(F.lpad(key.cast("string"), 8, "0"), F.lpad((97 - key % 97).cast("string"), 2, "0"))
+    b = F.concat((F.col("o_custkey") + 90_000_000).cast("string"), F.lit("00"))
+    said = F.concat(F.left(b, F.lit(5)), F.lit("-"), F.right(b, F.lit(5)), F.lit(" succède à "), ids.format_number(a), F.lit(" (soit "), a, F.lit("), voir 123456789 et 0500.303."))
+    return t("orders").select("o_orderkey", F.array_join(ids.extract_numbers(said), ",").alias("numbers"))
+
+
+_TITLES = ("Constitution d'une SRL", "Dissolution volontaire", "RADIATION d'office", "Transfert SIÈGE", "Démission et nomination", "Comptes annuels")
+
+
+@query("""SELECT ['CONSTITUTION', 'FIN', 'RADIATION', 'SIEGE', 'DEMISSION-NOMINATION', 'INCONNUE', NULL][p_partkey % 7 + 1] AS rubric, count(*) AS n, min(p_partkey) AS first_key FROM part GROUP BY ALL""")
+def q49_rubrics(t):
+    """classes of publication titles; the seventh has none."""
+    titles = F.array(*[F.lit(x) for x in _TITLES])
+    title = F.concat(F.try_element_at(titles, (F.col("p_partkey") % 7 + 1).cast("int")), F.lit(" - "), F.col("p_partkey").cast("string"))
+    return t("part").groupBy(text.rubric(title).alias("rubric")).agg(F.count(F.lit(1)).alias("n"), F.min("p_partkey").alias("first_key"))
+
+
+@query("""SELECT c_custkey, o_orderkey, o_orderdate::DATE AS day, a.administrators FROM customer LEFT JOIN orders ON o_custkey = c_custkey
+LEFT JOIN (SELECT s_nationkey, string_agg(s_suppkey || ':' || s_name, '|' ORDER BY s_suppkey) AS administrators FROM supplier WHERE s_acctbal > 0 GROUP BY s_nationkey) a ON s_nationkey = c_nationkey""")
+def q50_sheet_view(t):
+    """Companies with each decision and their administrators, null without any."""
+    links = t("orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
+    managed = t("customer").select("c_custkey", F.col("c_nationkey").alias("s_nationkey"))
+    people = t("supplier").filter("s_acctbal > 0").select("s_nationkey", "s_suppkey", "s_name")
+    rows = company.sheet_view(t("customer").select("c_custkey"), "c_custkey", links, t("orders").select("o_orderkey", "o_orderdate"), "o_orderkey", managed, people, "s_nationkey", ["s_suppkey", "s_name"])
+    listed = F.array_join(F.transform("administrateurs", lambda a: F.concat_ws(":", a["s_suppkey"].cast("string"), a["s_name"])), "|")
+    return rows.select("c_custkey", "o_orderkey", F.col("o_orderdate").cast("date").alias("day"), listed.alias("administrators"))
+
+
+@query("SELECT DISTINCT s_suppkey, o_orderkey, o_orderdate::DATE AS day FROM supplier JOIN lineitem ON l_suppkey = s_suppkey JOIN orders ON o_orderkey = l_orderkey WHERE s_nationkey = 7")
+def q51_decisions_of(t):
+    """The decisions of some companies."""
+    links = t("lineitem").select(F.col("l_suppkey").alias("s_suppkey"), F.col("l_orderkey").alias("o_orderkey")).distinct()
+    found = company.decisions_of(t("supplier").filter("s_nationkey = 7"), links, t("orders"), "s_suppkey", "o_orderkey", [F.desc("o_orderdate"), F.asc("o_orderkey")])
+    return found.select("s_suppkey", "o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
+
+
+@query("SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda w: CASE WHEN lower(w) IN ('blue', 'ring') THEN '<em>' || w || '</em>' ELSE w END), ' ') AS marked FROM part")
+def q52_highlight(t):
+    """Whole words of a name marked, parts of words not."""
+    return t("part").select("p_partkey", text.highlight(text.highlight(F.col("p_name"), "blue"), "ring").alias("marked"))
+
+
 def q43_stream_watch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """2.11: events as a stream of files; per user new purchases, written idempotently and read back."""
     import uuid
 
     from actaspark.streaming import watch_stream
 
-    root = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = f"file://{tempfile.mkdtemp(prefix='actaspark-')}"
     base = f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     rows = events.select(F.concat(F.lit("event/"), F.col("event_id").cast("string")).alias("url"), F.col("ts").cast("date").alias("date_doc"), F.col("ts").cast("timestamp").alias("time"), F.array(F.col("user_id").cast("string")).alias("TVA"))
