@@ -100,8 +100,29 @@ def op10_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op13_subspace_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whitened
+
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = (
+    op1_toxic_segments,
+    op2_crf_language,
+    op3_blob_ledger,
+    op4_token_planes,
+    op5_simhash_lines,
+    op6_png_media,
+    op7_bbit_minhash,
+    op8_power_of_two_packing,
+    op9_weighted_mix,
+    op10_scaled_sketch,
+    op13_subspace_whitening,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxic_segments, op2_crf_language, op3_blob_ledger, op4_token_planes, op5_simhash_lines, op6_png_media, op7_bbit_minhash, op8_power_of_two_packing, op9_weighted_mix, op10_scaled_sketch)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
