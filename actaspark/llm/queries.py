@@ -100,6 +100,12 @@ def op10_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .prefix_trie import trie
+
+    return trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_subspace_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .whitening import whitened
 
@@ -117,6 +123,7 @@ QUERIES = (
     op8_power_of_two_packing,
     op9_weighted_mix,
     op10_scaled_sketch,
+    op12_prefix_trie,
     op13_subspace_whitening,
 )
 
