@@ -100,6 +100,13 @@ def op10_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_crf_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .extraction import extract, learn
+
+    pages = table(spark, sf_dir, "pages")
+    return extract(pages, learn(pages))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .prefix_trie import trie
 
@@ -123,6 +130,7 @@ QUERIES = (
     op8_power_of_two_packing,
     op9_weighted_mix,
     op10_scaled_sketch,
+    op11_crf_main_text,
     op12_prefix_trie,
     op13_subspace_whitening,
 )
