@@ -230,7 +230,9 @@ def fit(pages: list[tuple[list[Block], list[int]]], rounds: int = 120, rate: flo
 def learn(pages: DataFrame, number: int = 400, page_bytes: int = 65_536, laid_out: int = 1200, seed: int = 0) -> Chain:
     """Fit on at most ``number`` pages of the table, drawn by hash, and on ``laid_out`` labelled layouts of their texts."""
     rows = pages.select(F.col("html").cast("string").alias("html")).filter(F.octet_length("html") <= page_bytes)
-    drawn = rows.orderBy(F.xxhash64("html", F.lit(seed)), "html").limit(number).collect()
+    share = min(1.0, 4 * number / max(1, rows.count()))  # so that tasks send about four times the sample, however many they are
+    rows = rows.withColumn("h", F.xxhash64("html", F.lit(seed))).filter(F.pmod("h", F.lit(1_000_003)) < int(share * 1_000_003) + 1)
+    drawn = rows.dropDuplicates(["h"]).orderBy("h").limit(number).collect()
     own = [m for m in (marked(r["html"]) for r in drawn) if m]
     texts = [[(b.tag, b.text) for b, y in zip(*m, strict=True) if y] for m in own]
     anew = [m for m in (marked(page) for page in layouts(texts, laid_out, seed)) if m]
