@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from actaspark.operators import postings
-from actaspark.plans.catalogue import _WORDS_SQL, query
+from actaspark.operators import postings, rule_hits
+from actaspark.plans.catalogue import _TAGS_SQL, _WORDS_SQL, DEMO_PACK, query
 from actaspark.plans.shared import shared_dir
 
 _PLACED_SQL = _WORDS_SQL.replace("words AS (SELECT doc_id, rank, unnest(", "listed AS (SELECT doc_id, rank, (").replace(") AS word FROM", ") AS w FROM") + ", words AS (SELECT doc_id, rank, unnest(w) AS word, unnest(range(len(w))) AS pos FROM listed)"
@@ -34,3 +34,21 @@ def q53_search_proximity(t):
         own = postings.search(docs.sparkSession, path, f"={asked}").select(F.lit(asked).alias("asked"), "*")
         found = own if found is None else found.unionByName(own)
     return found
+
+
+_PLACE_SQL = r"length(regexp_extract(text, '(?is)^(.*?(?:^|[^\p{{L}}]))(?:{})(?:$|[^\p{{L}}])', 1))"
+_HITS_SQL = f"""(WITH {_TAGS_SQL} SELECT t.doc_id, t.tag, CASE t.tag WHEN 'lang_de' THEN {_PLACE_SQL.format('der|die|und')} WHEN 'lang_fr' THEN {_PLACE_SQL.format('les|des|une')} WHEN 'lang_es' THEN {_PLACE_SQL.format('los|las|una')}
+WHEN 'lang_en' THEN {_PLACE_SQL.format('the|and|of')} WHEN 'licence' THEN strpos(lower(text), 'licensed under') - 1 WHEN 'contact' THEN length(regexp_extract(text, '(?is)^(.*?)[a-z0-9.]+@[a-z0-9.]+', 1)) WHEN 'opening_the' THEN strpos(lower(text[1:40]), 'the') - 1 END AS place
+FROM (SELECT doc_id, unnest(tags) AS tag FROM tagged) t JOIN documents USING (doc_id))"""
+
+
+@query(f"SELECT 'text' AS called, doc_id, tag, place FROM {_HITS_SQL} UNION ALL SELECT 'table', doc_id, tag, place FROM {_HITS_SQL} WHERE tag <> 'plain'")
+def q54_rule_hits(t):
+    """2.12i, X1 to X4: a table function in SQL, of texts and of a table: every tag with the place that gave it."""
+    docs = t("documents")
+    rule_hits.register(docs.sparkSession, {"demo": DEMO_PACK})
+    return docs.sparkSession.sql(
+        """SELECT 'text' AS called, d.doc_id, h.tag, h.place FROM {docs} d, LATERAL rule_hits(d.text, 'demo') h
+           UNION ALL SELECT 'table', doc_id, tag, place FROM rule_hits(TABLE(SELECT doc_id, text FROM {docs}), 'demo') WHERE tag <> 'plain'""",
+        docs=docs,
+    )
