@@ -6,7 +6,9 @@
 
 Rows are (list, page, html). The pages of a list are 1 to n, n being what the last pagination link of page 1 says (``pages``
 overrides it), up to the first page that is missing or empty; every page is a partition of its own, or ``per_task`` of
-them. Conditions ``list = ...``, ``list in (...)`` and comparisons of ``page`` with a number are applied before a file is opened.
+them. ``lists`` (names with commas between), ``from_page`` and ``to_page`` choose files. In the format ``page_files_pushed``, which
+needs ``spark.sql.python.filterPushdown.enabled``, so do conditions ``list = ...``, ``list in (...)`` and comparisons of ``page`` with
+a number; Spark keeps them with the loaded table, so load it anew for each set of conditions.
 
 As a stream, offsets are the number of pages taken of each list: a list that grew since, or a new one, gives the pages that
 came, and a page that is still missing or empty ends the list until it is there. Files are opened through Arrow, so the
@@ -83,6 +85,8 @@ class _Options:
         self.path, self.encoding = options["path"], options.get("encoding", "utf-8")
         self.pages = int(options["pages"]) if "pages" in options else None
         self.per_task = int(options.get("per_task", "1"))
+        self.lists = {n.strip() for n in options["lists"].split(",")} if "lists" in options else None
+        self.first, self.last = int(options.get("from_page", "1")), int(options.get("to_page", str(1 << 31)))
 
     def announced(self, store: Store, name: str) -> int:
         return self.pages if self.pages is not None else store.count(name)
@@ -94,8 +98,23 @@ class _Options:
 class PageReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.options = _Options(options)
-        self.lists: set[str] | None = None
-        self.tests: list[tuple[type, int]] = []
+        self.lists = self.options.lists
+        self.tests: list[tuple[type, int]] = [(GreaterThanOrEqual, self.options.first), (LessThanOrEqual, self.options.last)]
+
+    def partitions(self) -> list[Pages]:
+        store, out = Store(self.options.path), []
+        for name in store.lists():
+            if self.lists is None or name in self.lists:
+                end = store.end(name, self.options.announced(store, name))
+                out += self.options.parts(name, [n for n in range(1, end + 1) if all(_COMPARED[kind](n, value) for kind, value in self.tests)])
+        return out or [Pages("", ())]
+
+    def read(self, partition: Pages) -> Iterator[tuple]:
+        return _rows(self.options.path, partition, self.options.encoding)
+
+
+class PushedReader(PageReader):
+    """Spark asks readers with this method for nothing unless filter push-down is on."""
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for f in filters:
@@ -109,17 +128,6 @@ class PageReader(DataSourceReader):
                 case _:
                     yield f
 
-    def partitions(self) -> list[Pages]:
-        store, out = Store(self.options.path), []
-        for name in store.lists():
-            if self.lists is None or name in self.lists:
-                end = store.end(name, self.options.announced(store, name))
-                out += self.options.parts(name, [n for n in range(1, end + 1) if all(_COMPARED[kind](n, value) for kind, value in self.tests)])
-        return out or [Pages("", ())]
-
-    def read(self, partition: Pages) -> Iterator[tuple]:
-        return _rows(self.options.path, partition, self.options.encoding)
-
 
 class PageStream(DataSourceStreamReader):
     def __init__(self, options: dict[str, str]):
@@ -160,9 +168,18 @@ class PageFiles(DataSource):
         return PageStream(self.options)
 
 
+class PushedPageFiles(PageFiles):
+    @classmethod
+    def name(cls) -> str:
+        return f"{NAME}_pushed"
+
+    def reader(self, schema) -> PushedReader:
+        return PushedReader(self.options)
+
+
 def register(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(PageFiles)
+    spark.dataSource.register(PushedPageFiles)
 
 
 def write_pages(pages, path: str) -> None:

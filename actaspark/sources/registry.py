@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from actaspark.functions import ids, text
 from actaspark.plans import schemas
 
+from .cache import listed, newest
 
-def csv(spark: SparkSession, path: str, schema: str, encoding: str = "UTF-8", sep: str = ",", header: bool = True) -> DataFrame:
+
+def csv(spark: SparkSession, path: str | list[str], schema: str, encoding: str = "UTF-8", sep: str = ",", header: bool = True) -> DataFrame:
     """A CSV table; columns are matched by position to the header's names."""
     return spark.read.csv(path, schema=schema, header=header, sep=sep, encoding=encoding, quote='"', escape='"', enforceSchema=False) if header else spark.read.csv(path, schema=schema, sep=sep, encoding=encoding)
 
@@ -19,6 +21,25 @@ def read_text_column(spark: SparkSession, path: str, name: str, encoding: str =
     return csv(spark, path, f"{name} string", encoding, sep, header=False)
 
 
+def encodings(spark: SparkSession, paths: list[str], other: str = "ISO-8859-1") -> dict[str, str]:
+    """The encoding of each file: UTF-8 if all its lines are, else ``other``. Lines are tested where they are read, so a
+    large file is tested by many tasks."""
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), F.is_valid_utf8("value").alias("good"))
+    bad = {r["path"] for r in lines.groupBy("path").agg(F.bool_and("good").alias("good")).filter("not good").collect()}
+    every = [r["path"] for r in spark.read.format("binaryFile").load(paths).select(F.col("_metadata.file_path").alias("path")).collect()]
+    return {path: other if path in bad else "UTF-8" for path in every}
+
+
+def csv_any(spark: SparkSession, paths: list[str], schema: str, sep: str = ",", header: bool = True, other: str = "ISO-8859-1") -> DataFrame:
+    """CSV files of mixed encodings, each read in its own, with the encoding as a last column ``_encoding``."""
+    of = encodings(spark, paths, other)
+    rows = spark.createDataFrame([], f"{schema}, _encoding string")
+    for name in ("UTF-8", other):
+        if own := sorted(p for p, e in of.items() if e == name):
+            rows = rows.unionByName(csv(spark, own, schema, name, sep, header).withColumn("_encoding", F.lit(name)))
+    return rows
+
+
 def registry(spark: SparkSession, folder: str, encoding: str = "UTF-8") -> dict[str, DataFrame]:
     """enterprise, denomination, address and establishment below ``folder``."""
     kinds = {"enterprise": schemas.ENTERPRISE, "denomination": schemas.DENOMINATION, "address": schemas.ADDRESS, "establishment": schemas.ESTABLISHMENT}
@@ -37,6 +58,12 @@ def streets(names: DataFrame, column: str, seq: str) -> DataFrame:
     return rows.select(F.xxhash64("name").alias("id"), "name", "label")
 
 
+def newest_queue(spark: SparkSession, folder: str, first: int | None = None) -> DataFrame:
+    """The work queue of the newest log of each kind below a folder."""
+    paths = [r["path"] for r in newest(listed(spark, folder, "*.log")).collect()]
+    return work_queue(spark, paths, first) if paths else spark.createDataFrame([], "doc_id string, bces array<string>")
+
+
 def work_queue(spark: SparkSession, paths, first: int | None = None) -> DataFrame:
     """(doc_id, bces) of log lines that name a document and an enterprise; ``first`` documents only, by id."""
     line = F.col("value")

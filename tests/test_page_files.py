@@ -28,11 +28,29 @@ def test_batch(spark, store):
     assert found(spark.read.format("page_files").load(f"file://{store}/none")) == []
 
 
+def test_options_choose_files(spark, store):
+    df = spark.read.format("page_files").options(lists="a, c", from_page=2, to_page=3).load(store)
+    assert found(df) == [("a", 2), ("a", 3), ("c", 2)] and df.rdd.getNumPartitions() == 3
+
+
 def test_conditions_choose_files(spark, store):
-    df = spark.read.format("page_files").load(store)
+    whole = spark.read.format("page_files").load(store)
+    assert found(whole.filter("page = 2").union(whole)) == sorted([*found(whole), ("a", 2), ("c", 2)])
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        conditions(spark, store)
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+
+
+def conditions(spark, store):
+    df = spark.read.format("page_files_pushed").load(store)
+    assert df.filter("list = 'a' and page = 3").rdd.getNumPartitions() == 1
+    df = spark.read.format("page_files_pushed").load(store)
     assert found(df.filter("list in ('a', 'c') and page >= 2 and page < 4")) == [("a", 2), ("a", 3), ("c", 2)]
+    df = spark.read.format("page_files_pushed").load(store)
     assert found(df.filter("list = 'a' and page = 3 and html like '%a3%'")) == [("a", 3)]
-    reader = page_files.PageReader({"path": store})
+    reader = page_files.PushedReader({"path": store})
     left = list(reader.pushFilters([page_files.EqualTo(("list",), "a"), page_files.GreaterThan(("page",), 2), page_files.EqualTo(("html",), "x")]))
     assert left == [page_files.EqualTo(("html",), "x")] and [p.pages for p in reader.partitions()] == [(3,), (4,)]
 
