@@ -22,6 +22,70 @@ def month_number(name: Column) -> Column:
     return F.element_at(F.create_map(*[x for i, m in enumerate(MONTHS, 1) for x in (F.lit(m), F.lit(i))]), plain(name))
 
 
+# Fixed value: a spelling that is read though two letters are wrong.
+_SEEN = {"octber": 10}
+
+
+def _deletions(word: str) -> set[str]:
+    return {word[:k] + word[k + 1 :] for k in range(len(word))}
+
+
+def _month_tables() -> tuple[dict[str, int], dict[str, int]]:
+    """Beginnings of at least three letters that fit one month, and whole names; and the strings that names become by a deletion,
+    which words with one wrong, missing, added or moved letter share. Names of up to four letters only bear an added
+    letter, and ``mai`` bears none: too many other words are as near. What fits two months is left out."""
+    short: dict[str, set[int]] = {}
+    near: dict[str, set[int]] = {}
+    for i, name in enumerate(MONTHS, 1):
+        for n in range(3, len(name)):
+            short.setdefault(name[:n], set()).add(i)
+        for part in ({name} | _deletions(name)) if len(name) > 4 else {name} if len(name) == 4 else ():
+            near.setdefault(part, set()).add(i)
+    one = lambda table: {k: min(v) for k, v in table.items() if len(v) == 1}
+    return one(short) | {name: i for i, name in enumerate(MONTHS, 1)} | _SEEN, one(near)
+
+
+_WRITTEN, _NEAR = _month_tables()
+
+
+def misspelt_month(word: Column) -> Column:
+    """The month of a name as scans have it: shortened, with other accents, a zero for an o, or one letter wrong, missing,
+    added or moved; null of other words."""
+    from actaspark.functions.text import unaccent
+
+    w = F.translate(unaccent(F.lower(F.trim(word))), "0.", "o")
+    table = lambda values: F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+    cut = F.transform(F.sequence(F.lit(1), F.greatest(F.length(w), F.lit(1))), lambda k: F.concat(F.left(w, k - 1), F.substr(w, k + 1)))
+    months = F.array_distinct(F.filter(F.transform(F.concat(F.array(w), cut), lambda x: F.element_at(table(_NEAR), x)), lambda m: m.isNotNull()))
+    name = month_name(months[0])
+    letters = lambda c: F.array_sort(F.split(c, ""))
+    one = (F.levenshtein(w, name) <= 1) | ((F.length(w) == F.length(name)) & (letters(w) == letters(name)))
+    return F.coalesce(F.element_at(table(_WRITTEN), w), F.when((F.size(months) == 1) & one, months[0]))
+
+
+def scanned_date(c: Column) -> Column:
+    """The first French date of a text whose month can be read, misspelt or not; null if it isn't in the calendar."""
+    found = F.regexp_extract_all(c, F.lit(r"(?iU)\b\d{1,2}(?:\s*er)?\s+[\p{L}0]{3,12}\.?\s+\d{4}\b"), F.lit(0))
+
+    def parts(said: Column) -> Column:
+        words = F.split(F.regexp_replace(said, r"(?iU)^(\d{1,2})\s*er\b", "$1"), r"\s+")
+        return F.struct(misspelt_month(words[1]).alias("m"), words[0].alias("d"), words[2].alias("y"))
+
+    first = F.try_element_at(F.filter(F.transform(found, parts), lambda p: p["m"].isNotNull()), F.lit(1))
+    return F.try_to_date(F.concat_ws("-", first["y"], F.lpad(first["m"].cast("string"), 2, "0"), F.lpad(first["d"], 2, "0")), "yyyy-MM-dd")
+
+
+def doc_date(c: Column) -> Column:
+    """struct(date, raw): an ISO day as a date; anything else as it is, blank as null."""
+    day = F.when(c.rlike(_ISO), F.try_to_date(c, "yyyy-MM-dd"))
+    return F.struct(day.alias("date"), F.when(day.isNull() & (c != ""), c).alias("raw"))
+
+
+def date_list(c: Column) -> Column:
+    """The texts of a list that aren't blank; of null none."""
+    return F.filter(F.coalesce(c, F.array().cast("array<string>")), lambda d: F.trim(d) != "")
+
+
 def is_valid_date(c: Column) -> Column:
     """ISO form and a day of the calendar."""
     return F.coalesce(c.rlike(_ISO) & F.try_to_date(c, "yyyy-MM-dd").isNotNull(), F.lit(False))

@@ -188,6 +188,22 @@ def once_doubled(c: Column) -> Column:
     return F.regexp_replace(c, r"(?iU)\b(\w+)(?:\s+\1\b)+", "$1")
 
 
+def without_bar(c: Column) -> Column:
+    """A text without brackets that begin with Av, up to the next closing one on the line."""
+    return F.regexp_replace(c, r"(?iUd)\(Av\.?.*?\)", "")
+
+
+def estate_once(c: Column) -> Column:
+    """``Succession en déshérence`` stands once where it directly repeats itself."""
+    return F.regexp_replace(c, r"(?iU)(Succession en déshérence)\s+\1", "$1")
+
+
+def once_each(c: Column, begin: str = "Déclaration d'acceptation") -> Column:
+    """Paragraphs, each from a ``begin`` to the next, once; in order of first places, with blanks between."""
+    parts = F.transform(F.split(c, f"(?={re.escape(begin)})"), lambda p: F.regexp_replace(p, r"(?U)^\s+|\s+$", ""))
+    return F.array_join(F.array_distinct(F.filter(parts, lambda p: p != "")), " ")
+
+
 def first_index(text: Column, part: Column, start: Column) -> Column:
     """0-based place of ``part`` at or after ``start``, or null."""
     at = F.call_function("locate", part, text, start + 1)
