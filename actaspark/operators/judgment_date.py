@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,7 +31,7 @@ HEADED = (
     (r"par\s+jugement\s+du\s+(\d{1,2}(?:er)?\s+\w+\s+\d{4}|\d{1,2}/\d{1,2}/\d{4})", 400),
     (r"(?:" + "|".join(CITIES) + r")\b[^a-zA-Z0-9]{1,5}le\s+" + _DAY + r"\.", -300),
     (JUDGED := r"par\s+jugement\s+du\s+(\d{1,2}[./-]\d{1,2}[./-]\d{4}|\d{1,2}(?:er)?\s+\w+\s+\d{4})", None),
-    (r"tribunal\s+de\s+première\s+instance(?:(?!\bn[ée]e?\b).){0,150}?\ble\s+" + _DAY, 300),
+    (FIRST := r"\ble\s+" + _DAY, 300),
     (r"par\s+jugement\s+rendu(?:\s+contradictoirement|\s+par\s+d[ée]faut|\s+en\s+dernier\s+ressort)?\s+le\s+" + _DAY, 800),
     (r"par\s+d[ée]cision\s+prononc[ée]e?\s+le\s+(\d{1,2}(?:er)?[\s/-]\w+[\s/-]\d{4})", None),
     (r"par\s+jugement\s+(?:rendu\s+)?(?:le|du)\s+" + _DAY, None),
@@ -38,8 +40,10 @@ HEADED = (
     (r"jugement\s+rendu\s+le\s+(\d{1,2}\s+\w+\s+\d{4})", None),
     (r"par\s+(?:son\s+)?ordonnance\s+du\s+" + _DAY, None),
 )
-#: Phrases of which the first in the text counts if a court is named in the 100 characters before it.
-NAMED_BEFORE = {JUDGED: "tribunal de première instance"}
+#: Phrases of which only the first in the text counts, and only if the court is named in so many characters before it.
+NAMED_BEFORE = {JUDGED: ("tribunal de première instance", 100), FIRST: ("tribunal de première instance", 150)}
+#: Phrases that aren't of a judgment if a birth is told in so many characters before them.
+NOT_AFTER_BIRTH = {FIRST: 30}
 SURE, LIKELY = 0.9, 0.6
 
 
@@ -48,24 +52,52 @@ def clean(text: Column) -> Column:
     return F.regexp_replace(F.trim(t), r"\b1er\s+er\b", "1er")
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is evaluated once, however often it is used."""
+    return F.transform(F.array(value), lambda x: then(x))[0]
+
+
+def _before(text: Column, place: Column, reach: int) -> Column:
+    first = F.greatest(place - reach, F.lit(1))
+    return F.substr(text, first, place - first)
+
+
+def _hit(own: Column, phrase: str, rx: str) -> Column:
+    if phrase not in NAMED_BEFORE:
+        return own.rlike(rx)
+    court, reach = NAMED_BEFORE[phrase]
+
+    def named(place: Column) -> Column:
+        good = (place > 0) & F.contains(F.lower(_before(own, place, reach)), F.lit(court))
+        return good & ~_before(own, place, NOT_AFTER_BIRTH[phrase]).rlike(r"(?iU)\bn[ée]e?\b") if phrase in NOT_AFTER_BIRTH else good
+
+    return let(F.regexp_instr(own, F.lit(rx)), named)
+
+
+def _written(t: Column) -> Column:
+    """What the first phrase of the cascade that matches has in the place of its date."""
+    found = []
+    for phrase, part in HEADED:
+        own = t if part is None else F.substring(t, 1, part) if part > 0 else F.right(t, F.lit(-part))
+        rx = "(?iUd)" + phrase
+        found.append(F.when(_hit(own, phrase, rx), F.regexp_extract(own, rx, 1)))
+    return F.coalesce(*found)
+
+
+def _result(date: Column, confidence: float) -> Column:
+    return F.when(date.isNotNull(), F.struct(date.alias("date"), F.lit("regex").alias("source"), F.lit(confidence).alias("confidence")))
+
+
 def judgment_date(text: Column) -> Column:
     """struct(date, source, confidence), or null. The first phrase that matches decides; its text stands for
     the date where it can't be read as one. Without any, the first French date of the first 500 characters
     that is no date of birth, with less confidence."""
-    t = clean(text)
-    out = None
-    for phrase, part in HEADED:
-        own = t if part is None else F.substring(t, 1, part) if part > 0 else F.right(t, F.lit(-part))
-        rx = "(?iUd)" + phrase
-        raw = F.regexp_extract(own, rx, 1)
-        value = F.coalesce(F.coalesce(dates.french_date(F.regexp_replace(raw, r"(?<=\d)er\b", "")), dates.to_date(raw)).cast("string"), raw)
-        hit = own.rlike(rx)
-        if phrase in NAMED_BEFORE:
-            place = F.regexp_instr(own, F.lit(rx))
-            first = F.greatest(place - 100, F.lit(1))
-            hit = hit & F.contains(F.lower(F.substr(own, first, place - first)), F.lit(NAMED_BEFORE[phrase]))
-        found = F.when(hit, F.struct(value.alias("date"), F.lit("regex").alias("source"), F.lit(SURE).alias("confidence")))
-        out = found if out is None else F.coalesce(out, found)
-    head = F.regexp_replace(F.substring(t, 1, 500), rf"(?iU)\bn[ée]e?\s+le\s+\d{{1,2}}(?:er)?\s+(?:{dates.MONTH_RX})\s+\d{{4}}", " ")
-    first = dates.french_date(F.regexp_replace(head, r"(?<=\d)er\b", ""))
-    return F.coalesce(out, F.when(first.isNotNull(), F.struct(first.cast("string").alias("date"), F.lit("regex").alias("source"), F.lit(LIKELY).alias("confidence"))))
+    plain = lambda c: F.regexp_replace(c, r"(?<=\d)er\b", "")
+    read = lambda raw: F.coalesce(let(plain(raw), dates.french_date).cast("string"), let(raw, dates.to_date).cast("string"), raw)
+
+    def of(t: Column) -> Column:
+        head = F.regexp_replace(F.substring(t, 1, 500), rf"(?iU)\bn[ée]e?\s+le\s+\d{{1,2}}(?:er)?\s+(?:{dates.MONTH_RX})\s+\d{{4}}", " ")
+        sure = let(_written(t), lambda raw: _result(read(raw), SURE))
+        return F.coalesce(sure, let(let(plain(head), dates.french_date).cast("string"), lambda day: _result(day, LIKELY)))
+
+    return let(clean(text), of)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .merge import insert_if_absent
 
@@ -73,18 +74,75 @@ def is_due(recurrence: Column, last_scan: Column, as_of: Column) -> Column:
     return due.otherwise(F.lit(False))
 
 
+#: So many terms are looked for by one expression; more by an automaton.
+FEW_TERMS, MOST_TERMS, MOST_FREE = 32, 1_000_000, 10_000
+
+
+def terms_in(documents: DataFrame, terms: list[str]) -> DataFrame:
+    """(id, date_doc, term) of the terms that each haystack has: one scan of the texts, whatever the number of watches."""
+    if len(terms) <= FEW_TERMS:
+        listed = F.array(*[F.lit(x) for x in terms]).cast("array<string>")
+        return documents.select("id", "date_doc", F.explode(F.filter(listed, lambda x: F.contains("haystack", x))).alias("term"))
+    schema = T.StructType([documents.schema["id"], documents.schema["date_doc"], T.StructField("term", T.StringType())])
+
+    def scan(batches):
+        import ahocorasick
+        import pyarrow as pa
+
+        found = ahocorasick.Automaton()
+        for x in terms:
+            found.add_word(x, x)
+        found.make_automaton()
+        for batch in batches:
+            rows, said = [], []
+            for row, text in enumerate(batch.column("haystack").to_pylist()):
+                own = sorted({x for _, x in found.iter(text)}) if text else []
+                rows += [row] * len(own)
+                said += own
+            at = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(at), batch.column("date_doc").take(at), pa.array(said, pa.string())], names=["id", "date_doc", "term"])
+
+    return documents.select("id", "date_doc", "haystack").mapInArrow(scan, schema)
+
+
+def _bounded(rows: DataFrame, most: int, what: str) -> list:
+    found = rows.limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} {what}")
+    return found
+
+
 def matches(watches: DataFrame, documents: DataFrame, unknown_type_matches: bool = False) -> DataFrame:
     """(watch_id, id): watches (watch_id, date_from, tags, street, keyword; nulls don't filter) against
     decisions (id, date_doc, tags, haystack).
 
-    A watch with tags is met by an equi join on exploded tags; only those without are compared with every
-    decision, and they are few and bounded by the watch table, which is the small side."""
-    d = documents.select("id", "date_doc", "tags", "haystack")
-    rest = (F.col("date_from").isNull() | (F.col("date_doc") >= F.col("date_from"))) & (F.col("street").isNull() | F.contains("haystack", F.lower("street"))) & (F.col("keyword").isNull() | F.contains("haystack", F.lower("keyword")))
-    tagged = watches.filter("tags is not null").select("watch_id", "date_from", "street", "keyword", F.explode("tags").alias("tag"))
-    by_tag = d.select("id", "date_doc", "haystack", F.explode("tags").alias("tag")).join(tagged, "tag").filter(rest).select("watch_id", "id").distinct()
-    free = watches.filter("tags is null").select("watch_id", "date_from", "street", "keyword")
-    return by_tag.unionByName(d.join(free, rest).select("watch_id", "id"))
+    Watches with tags meet decisions by tag, and only texts of what meets are read again for street and keyword. Streets and
+    keywords of the others are found by one scan for all of them, and met by term. Watches that filter by date alone
+    match nearly everything; they must be few (``MOST_FREE``), as must distinct terms (``MOST_TERMS``), or an error says so.
+    A watch whose tags are an empty list is of an unknown type: it matches nothing, or with ``unknown_type_matches`` as
+    if it named none."""
+    if unknown_type_matches:
+        watches = watches.withColumn("tags", F.when(F.size("tags") > 0, F.col("tags")))
+    late = F.col("date_from").isNull() | (F.col("date_doc") >= F.col("date_from"))
+    w = watches.select("watch_id", "date_from", "tags", F.lower("street").alias("street"), F.lower("keyword").alias("keyword"))
+    tagged = w.filter("tags is not null").select("watch_id", "date_from", "street", "keyword", F.explode("tags").alias("tag"))
+    met = documents.select("id", "date_doc", F.explode("tags").alias("tag")).join(tagged, "tag").filter(late).select("watch_id", "id", "street", "keyword").distinct()
+    plain = met.filter("street is null and keyword is null").select("watch_id", "id")
+    worded = met.filter("street is not null or keyword is not null").join(documents.select("id", "haystack"), "id")
+    has = lambda c: F.col(c).isNull() | F.contains("haystack", F.col(c))
+    out = plain.unionByName(worded.filter(has("street") & has("keyword")).select("watch_id", "id"))
+    free = w.filter("tags is null")
+    terms = [r["term"] for r in _bounded(free.select(F.explode(F.array("street", "keyword")).alias("term")).filter("term is not null").distinct(), MOST_TERMS, "terms of watches without tags")]
+    if terms:
+        asked = free.select("watch_id", "date_from", F.array_distinct(F.array_compact(F.array("street", "keyword"))).alias("terms"))
+        asked = asked.filter(F.size("terms") > 0).select("watch_id", "date_from", F.size("terms").alias("n"), F.explode("terms").alias("term"))
+        met = terms_in(documents, sorted(terms)).join(asked, "term").filter(late)
+        out = out.unionByName(met.groupBy("watch_id", "id", "n").agg(F.count(F.lit(1)).alias("k")).filter("k = n").select("watch_id", "id"))
+    always = _bounded(free.filter("street is null and keyword is null").select("watch_id", "date_from"), MOST_FREE, "watches that only filter by date")
+    if always:
+        listed = F.array(*[F.struct(F.lit(r["watch_id"]).cast(watches.schema["watch_id"].dataType).alias("watch_id"), F.lit(r["date_from"]).cast(watches.schema["date_from"].dataType).alias("date_from")) for r in always])
+        out = out.unionByName(documents.select("id", "date_doc", F.explode(listed).alias("w")).select("w.*", "id", "date_doc").filter(late).select("watch_id", "id"))
+    return out
 
 
 def new_events(existing: DataFrame, found: DataFrame) -> DataFrame:
@@ -107,6 +165,27 @@ def within_quota(watches: DataFrame, user: str, order: str, premium: Column, bas
     return watches.withColumn("_rank", rank).filter(F.col("_rank") <= F.when(premium, most).otherwise(basic)).drop("_rank")
 
 
+def set_last_scan(watches: DataFrame, scanned: DataFrame, as_of: Column) -> DataFrame:
+    """The watches with the time of a scan for those (watch_id) that were scanned."""
+    done = scanned.select("watch_id").distinct().withColumn("_done", F.lit(True))
+    return watches.join(done, "watch_id", "left").withColumn("last_scan", F.when(F.col("_done"), as_of).otherwise(F.col("last_scan"))).drop("_done")
+
+
+def watches_of(watches: DataFrame, events: DataFrame, user: str) -> DataFrame:
+    """A user's watches, newest first, each with its events in a list, newest first; none is an empty list."""
+    event = F.struct("date_publication", *[c for c in events.columns if c not in ("watch_id", "date_publication")])
+    lists = events.groupBy("watch_id").agg(F.sort_array(F.collect_list(event), asc=False).alias("events"))
+    own = watches.filter(F.col("user") == user).join(lists, "watch_id", "left")
+    return own.withColumn("events", F.coalesce("events", F.array())).orderBy(F.desc("created"), "watch_id")
+
+
+def is_complete(kind: Column, keyword: Column, tags: Column, street: Column, companies: Column) -> Column:
+    """Whether a watch's form names what it looks for: companies, or at least one of keyword, tags and street."""
+    said = lambda c: F.coalesce(F.trim(c) != "", F.lit(False))
+    some = lambda c: F.coalesce(F.size(c) > 0, F.lit(False))
+    return F.when(kind == "VAT", some(companies)).otherwise(said(keyword) | some(tags) | said(street))
+
+
 def set_recurrence(watches: DataFrame, recurrence: Column, weekday: Column) -> DataFrame:
     """A weekday is kept for weekly watches only."""
     return watches.withColumns({"recurrence": recurrence, "recurrence_weekday": F.when(recurrence == "weekly", weekday)})

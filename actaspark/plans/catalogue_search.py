@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from actaspark.operators import postings, rule_hits
+from actaspark.operators import postings, rule_hits, rules
+from actaspark.operators.packs import appeal, enterprise, first_instance, strike_off
 from actaspark.plans.catalogue import _TAGS_SQL, _WORDS_SQL, DEMO_PACK, query
 from actaspark.plans.shared import shared_dir
+from actaspark.plans.tag_samples import SAMPLES
 
 _PLACED_SQL = _WORDS_SQL.replace("words AS (SELECT doc_id, rank, unnest(", "listed AS (SELECT doc_id, rank, (").replace(") AS word FROM", ") AS w FROM") + ", words AS (SELECT doc_id, rank, unnest(w) AS word, unnest(range(len(w))) AS pos FROM listed)"
 _ASKED = {"licensed version repositery": (("licensed", 1), ("version", 1), ("repositery", 2)), "apache fil": (("apache", 1), ("fil", 0)), "und der th": (("und", 0), ("der", 0), ("th", 0))}
@@ -52,3 +54,29 @@ def q54_rule_hits(t):
            UNION ALL SELECT 'table', doc_id, tag, place FROM rule_hits(TABLE(SELECT doc_id, text FROM {docs}), 'demo') WHERE tag <> 'plain'""",
         docs=docs,
     )
+
+
+_PACKS = {"enterprise": enterprise.PACK, "first_instance": first_instance.PACK, "appeal": appeal.PACK, "strike_off": strike_off.PACK}
+_SAMPLES = [(pack, tag, said) for pack, own in SAMPLES.items() for tag, said in own.items()]
+_SAMPLES_SQL = ", ".join(f"({k}, '{pack}', '{tag.replace('{n}', '%')}')" for k, (pack, tag, _) in enumerate(_SAMPLES))
+
+
+@query(f"SELECT c_custkey, pack, tag, tag NOT IN ('annulation_ou_arret_radiation_adresse_siege', 'annulation_ou_arret_radiation_succursale_siege') AS given, true AS agrees FROM customer JOIN (VALUES {_SAMPLES_SQL}) s(k, pack, tag) ON c_custkey % {len(_SAMPLES)} = k")
+def q68_every_tag(t):
+    """Texts of every tag about customers; the packs as expressions give it, and the table function gives the same
+    tags. Two tags of struck-off companies are never given: an earlier, wider rule matches whatever theirs do."""
+    spark = t("customer").sparkSession
+    samples = F.array(*[F.struct(*[F.lit(x) for x in s]) for s in _SAMPLES])
+    s = F.element_at(samples, (F.col("c_custkey") % len(_SAMPLES) + 1).cast("int"))
+    rows = t("customer").select("c_custkey", s["col1"].alias("pack"), s["col2"].alias("wanted"), F.concat(s["col3"], F.lit(". ~ "), F.col("c_name")).alias("text"))
+    rule_hits.register(spark, _PACKS, "pack_hits")
+    found = None
+    for name, pack in _PACKS.items():
+        own = rules.with_tags(rows.filter(F.col("pack") == name), pack)
+        listed = spark.sql(f"SELECT c_custkey, tag FROM pack_hits(TABLE(SELECT c_custkey, text FROM {{own}}), '{name}')", own=own)
+        listed = listed.groupBy("c_custkey").agg(F.array_sort(F.collect_set("tag")).alias("listed"))
+        both = own.join(listed, "c_custkey", "left").withColumn("agrees", F.coalesce("listed", F.array()) == F.array_sort(F.array_distinct("tags")))
+        found = both if found is None else found.unionByName(both)
+    like = F.replace(F.col("wanted"), F.lit("{n}"), F.lit("%"))
+    given = F.exists("tags", lambda x: F.like(x, like))
+    return found.select("c_custkey", "pack", like.alias("tag"), given.alias("given"), "agrees")

@@ -66,7 +66,7 @@ def silver(rows: DataFrame, contact_gate: bool = False) -> DataFrame:
         done.append(F.col(f"_tags{k}"))
     tags = _joined(F.col("stream"), done)
     court = F.col("stream").isin(*COURTS)
-    rows = rows.withColumns({"extra_keyword": tags, "date_jugement": F.when(court, judgment_date(F.col("text"))), "administrateur": administrators_of(F.when(court, F.col("text")))})
+    rows = rows.withColumns({"extra_keyword": tags, "date_jugement": F.when(F.col("stream").isin(*PACKS), judgment_date(F.col("text"))), "administrateur": administrators_of(F.when(court, F.col("text")))})
     return rows.drop("_own", *[f"_tags{k}" for k in range(len(EVALUATED))])
 
 

@@ -129,6 +129,10 @@ def test_earlier_packs_count(spark):
         ("x" * 450 + " par jugement du 3 mai 2024 ... tribunal de première instance, par jugement du 4 mai 2024", ("2024-05-03", 0.9)),
         ("x" * 700 + ". Liège, le 5 juin 2024.", ("2024-06-05", 0.9)),
         ("x" * 700 + ". Quelque part, le 5 juin 2024.", None),
+        ("publié le 2 janvier 2020, tribunal de première instance de Mons, le 3 mai 2024", ("2020-01-02", 0.6)),
+        ("tribunal de première instance de Mons, en la cause de Jean, né à Mons, qui y demeure, a rendu le 3 mai 2024", ("2024-05-03", 0.9)),
+        ("tribunal de première instance : Jean, né à Mons, le 3 mai 1980", ("1980-05-03", 0.6)),
+        ("tribunal de première instance" + " x" * 80 + " le 3 mai 2024", ("2024-05-03", 0.6)),
     ],
 )
 def test_judgment_date_places(spark, text, want):
