@@ -57,10 +57,11 @@ def misspelt_month(word: Column) -> Column:
     table = lambda values: F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
     cut = F.transform(F.sequence(F.lit(1), F.greatest(F.length(w), F.lit(1))), lambda k: F.concat(F.left(w, k - 1), F.substr(w, k + 1)))
     months = F.array_distinct(F.filter(F.transform(F.concat(F.array(w), cut), lambda x: F.element_at(table(_NEAR), x)), lambda m: m.isNotNull()))
-    name = month_name(months[0])
+    only = F.get(months, F.lit(0))
+    name = month_name(only)
     letters = lambda c: F.array_sort(F.split(c, ""))
     one = (F.levenshtein(w, name) <= 1) | ((F.length(w) == F.length(name)) & (letters(w) == letters(name)))
-    return F.coalesce(F.element_at(table(_WRITTEN), w), F.when((F.size(months) == 1) & one, months[0]))
+    return F.coalesce(F.element_at(table(_WRITTEN), w), F.when((F.size(months) == 1) & one, only))
 
 
 def scanned_date(c: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from actaspark.functions import dates, ids, text
-from actaspark.operators import enrich, merge, quality, rules
+from actaspark.operators import enrich, mandataries, merge, quality, rules
 from actaspark.operators.entities import administrators_of
 from actaspark.operators.judgment_date import judgment_date
 from actaspark.operators.packs import appeal, enterprise, first_instance, strike_off
@@ -45,12 +45,13 @@ def _joined(stream: Column, tags: list[Column], before: int | None = None) -> Co
     return out
 
 
-def silver(rows: DataFrame, contact_gate: bool = False) -> DataFrame:
+def silver(rows: DataFrame, contact_gate: bool = False, names: DataFrame | None = None) -> DataFrame:
     """Numbers, hash, tags, date of judgment and administrators of bronze rows with their stream.
 
     The gates (a court or registry text needs a number; estates are left out of two courts) come before the
     costly extraction, and each stream only runs its own packs. With ``contact_gate`` texts of the first
-    instance that give a term of contact get no enterprise tags."""
+    instance that give a term of contact get no enterprise tags. With a dictionary ``names`` (nom) there are ``administrators`` too:
+    listed names near key words merged with those found by pattern."""
     rows = rows.withColumn("TVA", F.transform(ids.extract_numbers(F.col("text")), lambda n: ids.format_number(n)))
     needs = F.col("stream").isin(*PACKS)
     estate = F.col("stream").isin("first_instance", "appeal") & F.col("text").rlike(ESTATES)
@@ -67,7 +68,23 @@ def silver(rows: DataFrame, contact_gate: bool = False) -> DataFrame:
     tags = _joined(F.col("stream"), done)
     court = F.col("stream").isin(*COURTS)
     rows = rows.withColumns({"extra_keyword": tags, "date_jugement": F.when(F.col("stream").isin(*PACKS), judgment_date(F.col("text"))), "administrateur": administrators_of(F.when(court, F.col("text")))})
-    return rows.drop("_own", *[f"_tags{k}" for k in range(len(EVALUATED))])
+    rows = rows.drop("_own", *[f"_tags{k}" for k in range(len(EVALUATED))])
+    return rows if names is None else with_administrators(rows, names)
+
+
+def with_administrators(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """Silver rows of the courts with ``administrators``; the others, and texts without any, have an empty list.
+
+    Only ids and texts of the courts go through the look-up, each text once."""
+    found = []
+    for streams, words in ((("first_instance", "enterprise"), mandataries.KEYWORDS), (("appeal",), mandataries.KEYWORDS[:-1])):
+        own = rows.filter(F.col("stream").isin(*streams)).select("id", "text").dropDuplicates(["id"])
+        found.append(mandataries.mandataries(own, "id", "text", names, words).select("id", F.lit(len(found)).alias("_kind"), "mandataries"))
+    kind = F.when(F.col("stream").isin("first_instance", "enterprise"), 0).when(F.col("stream") == "appeal", 1)
+    joined = rows.withColumn("_kind", kind).join(found[0].unionByName(found[1]), ["id", "_kind"], "left")
+    none = F.array().cast("array<struct<nom:string,role:string>>")
+    by_rule = F.coalesce("administrateur", F.array().cast("array<struct<role:string,entity:string,raw:string>>"))
+    return joined.withColumn("administrators", mandataries.merged(F.coalesce("mandataries", none), by_rule)).select(*rows.columns, "administrators")
 
 
 def gold(extracts: DataFrame, companies: DataFrame, seq: str = "ingest_seq") -> DataFrame:
