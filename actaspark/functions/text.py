@@ -126,6 +126,14 @@ def html_text_compat(html: pd.Series) -> pd.Series:
     return html.map(lambda h: page_text(h, True))
 
 
+def article_html(html: Column) -> Column:
+    """The inside of a publication page's article element, or null without one: scripts hold no element, and the first
+    end of the element counts."""
+    bare = F.regexp_replace(html, r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", "")
+    rx = r"""(?is)<main\b[^>]*\bclass\s*=\s*["'][^"']*\barticle-text\b[^"']*["'][^>]*>(.*?)(?:</main\s*>|$)"""
+    return F.when(bare.rlike(rx), F.regexp_extract(bare, rx, 1))
+
+
 def clean_url(url: Column, drop: tuple[str, ...] = ("exp",)) -> Column:
     """Without the query parameters named, without blank ones, and without a fragment."""
     base = F.regexp_extract(url, r"^([^?#]*)", 1)

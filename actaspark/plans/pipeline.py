@@ -25,9 +25,13 @@ EVALUATED = (first_instance.PACK, enterprise.PACK, appeal.PACK, strike_off.PACK)
 COURTS = ("first_instance", "enterprise", "appeal")
 
 
-def bronze(links: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Links of a valid date with their pages, and the dead letters: no page, no text or a bad date."""
-    rows = links.join(pages, "url", "left").withColumn("text", text.html_text("html")).drop("html")
+def bronze(links: DataFrame, pages: DataFrame, article_only: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Links of a valid date with their pages, and the dead letters: no page, no text or a bad date. With
+    ``article_only`` the text is that of the page's article element, and a page without one has none."""
+    joined = links.join(pages, "url", "left")
+    if article_only:
+        joined = joined.withColumn("html", F.when(F.col("html").isNotNull(), F.coalesce(text.article_html(F.col("html")), F.lit(""))))
+    rows = joined.withColumn("text", text.html_text("html")).drop("html")
     good = dates.is_valid_date(F.col("date_doc")) & (F.coalesce("text", F.lit("")) != "")
     reason = F.when(~dates.is_valid_date(F.col("date_doc")), "date").when(F.col("text").isNull(), "page").otherwise("text")
     return rows.filter(good), rows.filter(~good).select("url", reason.alias("reason"))

@@ -51,6 +51,25 @@ def without_public(denominations: DataFrame) -> DataFrame:
     return denominations.filter(~ids.is_public_entity(F.col("EntityNumber")))
 
 
+def chosen(rows: DataFrame, **allowed: list[str] | None) -> DataFrame:
+    """Rows whose columns have one of the allowed values (trimmed): types of denominations or addresses, languages. None or an
+    empty list allows all."""
+    for column, values in allowed.items():
+        if values:
+            rows = rows.filter(F.trim(F.coalesce(F.col(column), F.lit(""))).isin(*values))
+    return rows
+
+
+def enterprise_numbers(*tables: DataFrame) -> DataFrame:
+    """Each number (bce) of the registry tables' first columns once, as digits; nine get a leading zero."""
+    ten = lambda c: F.coalesce(ids.enterprise_number(c), ids.digits(c))
+    numbers = [t.select(ten(F.col(t.columns[0])).alias("bce")) for t in tables]
+    out = numbers[0]
+    for more in numbers[1:]:
+        out = out.unionByName(more)
+    return out.filter("bce is not null and bce <> ''").distinct()
+
+
 def streets(names: DataFrame, column: str, seq: str) -> DataFrame:
     """Distinct street names (id, name, label): the first spelling of a normalised name is the label."""
     norm = text.loose(F.col(column))
