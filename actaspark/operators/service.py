@@ -63,12 +63,10 @@ def api_record(df: DataFrame) -> DataFrame:
 
 
 def added(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
-    """One row (n_before, n_created, n_total) of a run that took a table from ``before`` to ``after``."""
-    fresh = after.select(key).distinct().join(before.select(key).distinct(), key, "left_anti")
-    count = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
-    one = F.lit(1).alias("_one")
-    rows = count(before, "n_before").select(one, "*").join(count(fresh, "n_created").select(one, "*"), "_one")
-    return rows.join(count(after, "n_total").select(one, "*"), "_one").drop("_one")
+    """One row (n_before, n_created, n_total) of a run that took a table from ``before`` to ``after``, in keys; null is one."""
+    both = before.select(key, F.lit(1).alias("b"), F.lit(0).alias("a")).unionByName(after.select(key, F.lit(0).alias("b"), F.lit(1).alias("a")))
+    each = both.groupBy(key).agg(F.max("b").alias("b"), F.max("a").alias("a"))
+    return each.agg(F.count_if(F.col("b") == 1).alias("n_before"), F.count_if((F.col("b") == 0) & (F.col("a") == 1)).alias("n_created"), F.count_if(F.col("a") == 1).alias("n_total"))
 
 
 def without_date(df: DataFrame, date: str = "date_doc") -> DataFrame:
