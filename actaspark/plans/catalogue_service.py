@@ -66,3 +66,9 @@ def q74_article_selection(t):
     page = F.concat(F.lit("<script>'<main class=\"article-text\">'</script><nav>x</nav>"), tag, inside, F.when(F.col("page_id") % 3 == 0, "</main ><footer>y</footer>").otherwise("</main>"))
     found = text.article_html(page)
     return t("pages").select("page_id", found.isNotNull().alias("has_article"), F.sha2(found, 256).alias("inside"))
+
+
+@query("SELECT row_number() OVER (ORDER BY lower(p_name)) AS id, lower(p_name) AS name, arg_min(p_name, p_partkey) AS label FROM part GROUP BY lower(p_name)")
+def q75_street_index(t):
+    """Distinct names with dense ids in their order; the first spelling is shown."""
+    return registry.street_index(t("part"), "p_name", "p_partkey")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from actaspark.functions import ids, text
 from actaspark.plans import schemas
+from actaspark.plans.shared import shared_dir
 
 from .cache import listed, newest
 
@@ -77,6 +78,25 @@ def streets(names: DataFrame, column: str, seq: str) -> DataFrame:
     return rows.select(F.xxhash64("name").alias("id"), "name", "label")
 
 
+def numbered(rows: DataFrame, order: str, id: str = "id", partitions: int | None = None) -> DataFrame:
+    """``rows`` with dense ids from 1 in the order of a unique column, without a sort in one task: ranges are numbered by
+    themselves, stored, and moved on by what the ranges before them hold (a row for each range)."""
+    spark, path = rows.sparkSession, shared_dir(rows.sparkSession, "numbered")
+    ranged = rows.repartitionByRange(*([partitions] if partitions else []), order).sortWithinPartitions(order)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    ranged.withColumns({"_range": F.spark_partition_id(), "_place": place}).write.parquet(path)
+    stored = spark.read.parquet(path)
+    sizes = stored.groupBy("_range").agg(F.max("_place").alias("n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    moves = sizes.select("_range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
+    return stored.join(moves, "_range").select((F.col("_place") + F.col("_before")).alias(id), *rows.columns)
+
+
+def street_index(names: DataFrame, column: str, seq: str) -> DataFrame:
+    """Distinct street names (id, name, label) with dense ids in the order of names."""
+    return numbered(streets(names, column, seq).drop("id"), "name")
+
+
 def newest_queue(spark: SparkSession, folder: str, first: int | None = None) -> DataFrame:
     """The work queue of the newest log of each kind below a folder."""
     paths = [r["path"] for r in newest(listed(spark, folder, "*.log")).collect()]

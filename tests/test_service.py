@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from actaspark.functions import text
-from actaspark.operators import service, watch
+from actaspark.operators import entities, service, watch
 from actaspark.operators.search import SearchSchema
 from actaspark.plans import pipeline
 from actaspark.sources import pages, registry, sinks
@@ -84,3 +84,24 @@ def test_notices_and_recurrence(spark):
     kept = watch.set_recurrence(watches, F.when(F.col("watch_id") == 3, "monthly").otherwise(F.col("recurrence")), F.lit("friday")).collect()
     assert [(r["recurrence"], r["recurrence_weekday"]) for r in kept] == [("daily", None), ("weekly", "friday"), ("monthly", None)]
     assert watch.within_quota(watches, "user", "watch_id", F.lit(False)).count() == 2 and date(2024, 1, 1)
+
+
+def test_dense_street_ids(spark):
+    said = [f"Rue {chr(65 + k % 26)}{k}" for k in range(300)]
+    names = spark.createDataFrame([(n, i) for i, n in enumerate(said)] + [("RUE a0", 999), ("", 1000), (None, 1001)], "n string, seq int")
+    got = registry.street_index(names, "n", "seq").collect()
+    assert [(r["id"], r["name"]) for r in sorted(got, key=lambda r: r["name"])] == list(enumerate(sorted(n.lower() for n in said), 1))
+    assert {r["label"] for r in got} == set(said)
+    many = registry.numbered(names.select("seq"), "seq", partitions=5).collect()
+    assert [(r["id"], r["seq"]) for r in sorted(many)] == list(enumerate([*range(300), 999, 1000, 1001], 1))
+    assert registry.numbered(names.select("seq").limit(0), "seq").count() == 0
+
+
+def test_addresses_in_known_streets(spark, monkeypatch):
+    streets = spark.createDataFrame([("Industrie",), ("Rue Haute",)], "name string")
+    df = spark.createDataFrame([("siège : rue Haute 12, 1000 Bruxelles",), ("siège : rue Basse 12, 1000 Bruxelles",), (None,)], "t string")
+    known = entities.company_address_among(streets)
+    assert [r[0] for r in df.select(known("t")).collect()] == ["RUE HAUTE 12, 1000", None, None]
+    monkeypatch.setattr(entities, "MOST_STREETS", 1)
+    with pytest.raises(ValueError, match="more than 1"):
+        entities.company_address_among(streets)
