@@ -30,11 +30,13 @@ def normal(c: Column, form: str = "NFC") -> Column:
     return _elsewhere(c, lambda t: unicodedata.normalize(form, t))
 
 
-def without_marks(c: Column) -> Column:
-    """Every letter without its marks, composed; letters that are no sum of a letter and a mark (ł, ø, ß) stay."""
+def without_marks(c: Column, compatible: bool = False) -> Column:
+    """Every letter without its marks, composed; letters that are no sum of a letter and a mark (ł, ø, ß) stay. With
+    ``compatible`` other forms of a character (ﬁ, ①) become the plain one."""
+    form = "NFKD" if compatible else "NFD"
 
     def bare(t: str) -> str:
-        return unicodedata.normalize("NFC", "".join(x for x in unicodedata.normalize("NFD", t) if unicodedata.category(x)[0] != "M"))
+        return unicodedata.normalize("NFC", "".join(x for x in unicodedata.normalize(form, t) if unicodedata.category(x)[0] != "M"))
 
     return _elsewhere(c, bare)
 

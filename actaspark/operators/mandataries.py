@@ -20,7 +20,7 @@ _WORD = r"[^\s,;:()\[\]{}]+"
 
 def canonical(c: Column) -> Column:
     """Lower case, without accents, points and apostrophes."""
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(unicode.without_marks(unicode.normal(c, "NFKC"))), "['.]", ""), r"\s+", " "))
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(unicode.without_marks(c, compatible=True)), "['.]", ""), r"\s+", " "))
 
 
 def spellings(name: Column) -> Column:
@@ -79,7 +79,7 @@ _ENTRY = "array<struct<name:string,entity:string,role:string,raw:string,own:bool
 
 
 def merged(listed: Column, found: Column) -> Column:
-    """One entry (entity, role, raw, origin, confidence) for each name of the arrays ``listed`` (nom, role) and ``found`` (role, entity,
+    """One entry (entity, role, raw, origin, confidence) for each name of the array columns ``listed`` (nom, role) and ``found`` (role, entity,
     raw), by a fold over a document's few entries. A name that is a spelling of an earlier one is the same; a strictly higher role
     replaces name and role, the first of equals stays; confidence is 25 for each step of the role, and 75 more if the entry is
     the listed one."""

@@ -538,7 +538,7 @@ def q43_stream_watch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q47_extractors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X1 to X13 on sentences in which numbers and names come from the driver's customers."""
-    from actaspark.operators import entities
+    from actaspark.operators import addresses, parties
     from actaspark.operators.judgment_date import judgment_date
     from actaspark.operators.packs import appeal, enterprise, first_instance, strike_off
 
@@ -551,7 +551,10 @@ def q47_extractors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = c.select("c_custkey", said.alias("text"))
     for name, pack in (("enterprise", enterprise.PACK), ("first", first_instance.PACK), ("appeal", appeal.PACK), ("strike", strike_off.PACK)):
         rows = rules.with_tags(rows, pack, "text", f"tags_{name}")
-    rows = rows.withColumns({"judged": judgment_date(F.col("text")), "admins": entities.administrators_of("text"), "companies": entities.company_names_of("text"), "people": entities.persons_of("text"), "homes": entities.home_addresses_of("text"), "seat": entities.company_address_of("text")})
+    said = F.col("text")
+    rows = rows.withColumns(
+        {"judged": judgment_date(said), "admins": parties.administrators(said), "companies": parties.company_names(said), "people": parties.persons(said), "homes": addresses.home_addresses(said), "seat": addresses.company_address(said)}
+    )
     tags = F.array_join(F.concat("tags_enterprise", "tags_first", "tags_appeal", "tags_strike"), ",")
     return rows.select("c_custkey", tags.alias("tags"), F.col("judged.date").alias("judged"), F.array_join(F.transform("admins", lambda a: a["entity"]), ",").alias("admins"), F.array_join("companies", ",").alias("companies"), F.array_join(F.transform("people", lambda p: p["canonical"]), ",").alias("people"), F.array_join("homes", "|").alias("homes"), "seat")
 

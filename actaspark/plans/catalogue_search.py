@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from actaspark.operators import mandataries, postings, rule_hits, rules
-from actaspark.operators.entities import administrators_of
+from actaspark.operators import mandataries, parties, postings, rule_hits, rules
 from actaspark.operators.packs import appeal, enterprise, first_instance, strike_off
 from actaspark.plans.catalogue import _TAGS_SQL, _WORDS_SQL, DEMO_PACK, query
 from actaspark.plans.shared import shared_dir
@@ -90,9 +89,9 @@ def q69_administrators(t):
     who = t("customer").join(t("supplier").select((F.col("s_suppkey")).alias("k"), "s_name"), F.col("k") == F.col("c_custkey") % 150, "left")
     near = F.when(F.col("c_custkey") % 3 > 0, F.lit("Maître ")).otherwise(F.concat(F.lit("Maître "), F.repeat(F.lit("x "), 200)))
     said = F.concat(F.lit("L'affaire. "), near, F.coalesce("s_name", F.lit("personne")), F.repeat(F.lit(" y"), 200), F.when(F.col("c_custkey") % 2 == 0, ". Curateur : Me Alice EXEMPLE, rue Haute 1.").otherwise("."))
-    rows = who.select("c_custkey", said.alias("text"))
+    rows = who.select("c_custkey", said.alias("text")).withColumn("found", parties.administrators(F.col("text")))
     rows = mandataries.mandataries(rows, "c_custkey", "text", t("supplier").select(F.col("s_name").alias("nom")))
     listed = F.filter("mandataries", lambda m: m["role"] == "inconnu")
-    rows = rows.select("c_custkey", mandataries.merged(listed, administrators_of("text")).alias("a"))
+    rows = rows.select("c_custkey", mandataries.merged(listed, F.col("found")).alias("a"))
     shown = F.transform("a", lambda a: F.concat_ws(":", a["entity"], a["role"], a["origin"], a["confidence"].cast("string")))
     return rows.select("c_custkey", F.concat(F.array_join(F.filter(shown, lambda x: F.contains(x, F.lit(":csv:"))), ","), F.when(F.exists(shown, lambda x: F.contains(x, F.lit(":csv:"))), ",").otherwise(""), F.array_join(F.filter(shown, lambda x: ~F.contains(x, F.lit(":csv:"))), ",")).alias("administrators"))

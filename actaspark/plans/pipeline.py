@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from actaspark.functions import dates, ids, text
-from actaspark.operators import enrich, mandataries, merge, quality, rules
-from actaspark.operators.entities import administrators_of
+from actaspark.operators import enrich, mandataries, merge, parties, quality, rules
 from actaspark.operators.judgment_date import judgment_date
 from actaspark.operators.packs import appeal, enterprise, first_instance, strike_off
 
@@ -71,7 +70,7 @@ def silver(rows: DataFrame, contact_gate: bool = False, names: DataFrame | None
         done.append(F.col(f"_tags{k}"))
     tags = _joined(F.col("stream"), done)
     court = F.col("stream").isin(*COURTS)
-    rows = rows.withColumns({"extra_keyword": tags, "date_jugement": F.when(F.col("stream").isin(*PACKS), judgment_date(F.col("text"))), "administrateur": administrators_of(F.when(court, F.col("text")))})
+    rows = rows.withColumns({"extra_keyword": tags, "date_jugement": F.when(F.col("stream").isin(*PACKS), judgment_date(F.col("text"))), "administrateur": parties.administrators(F.when(court, F.col("text")))})
     rows = rows.drop("_own", *[f"_tags{k}" for k in range(len(EVALUATED))])
     return rows if names is None else with_administrators(rows, names)
 
