@@ -9,7 +9,7 @@ Writing one: the filter that leaves the least sum of absolute differences over t
 Defined results: null text is the empty payload (one row of blanks); equal payloads give equal pictures and
 hashes; a very long text is one tall picture; null pictures give nulls, and so do damaged ones and those of a kind
 that isn't read (palette, other depths than 8 bits, interlace), with the reason in ``problem``; repeated rows give a
-row each; columns of the names of FEATURES are replaced, others stay; an empty table gives no rows."""
+row each; a frequency that equals the median gives a 0; columns of the names of FEATURES are replaced, others stay; an empty table gives no rows."""
 
 from __future__ import annotations
 

@@ -15,7 +15,8 @@ Defined results: null text, empty text and text without words have an empty set
 (component_id is their own id); rows that repeat a doc_id with one text are one document, and with different
 texts each text is grouped by itself; a null doc_id is linked as any other but names no group; of a group the
 document with the least doc_id is kept (nulls last; of one id with several texts, one by hash); ``one_of_each``
-keeps one of equal texts without an id; an empty table gives no rows."""
+keeps one of equal texts without an id; very long texts are shingled whole; groups are made of doc_id and text alone, whatever
+other columns are called, and ``one_of_each`` returns all of them; an empty table gives no rows."""
 
 from __future__ import annotations
 
