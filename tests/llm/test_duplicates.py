@@ -279,3 +279,65 @@ def test_many_nearly_linked(spark):
                 root = [min(a, b) if r in (a, b) else r for r in root]
     got = {r["doc_id"]: r["component_id"] for r in minhash.near_groups(docs, width=4).collect()}
     assert got == dict(enumerate(root))
+
+
+def replaced(words, kind, rng, vocabulary):
+    """A fifth of the words replaced: at random places, at even distances, or the longest ones by others as long."""
+    n, out = len(words), list(words)
+    places = {"random": rng.sample(range(n), n // 5), "even": range(2, 5 * (n // 5), 5), "longest": sorted(range(n), key=lambda i: -len(words[i]))[: n // 5]}
+    for i in places[kind]:
+        out[i] = rng.choice(vocabulary) if kind != "longest" else b"%d" % rng.randrange(10**6) + b"z" * max(1, len(words[i]) - 6)
+    return out
+
+
+def keys_and_mark(words, exact=False):
+    hashes, letters = line_dedup._hashes([words]), np.array([len(w) for w in words], np.int32)
+    keys = line_dedup.block_keys(hashes, letters, np.array([0]), np.array([len(words)]), exact)[1]
+    return set(keys.tolist()), int(line_dedup.simhash(hashes, np.array([0]), 1)[0, 0])
+
+
+def test_keys_needed_is_the_pigeonhole_number():
+    for n in range(5, 2000):
+        assert line_dedup.keys_needed(np.array([n]))[0] == max(3 * (m // 5) - (m - n) for m in range(n, n + n // 4 + 1)) + 1
+
+
+@pytest.mark.parametrize("kind", ["random", "even", "longest"])
+def test_similar_real_lines_share_keys_at_any_length(kind):
+    """Lines of real documents, and long ones joined from them, with the most edits that a link allows."""
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).to_pylist()
+    lines = sorted({tuple(w) for t in texts for w in line_dedup.line_words(t) if len(w) >= 15})
+    rng = random.Random(11)
+    vocabulary = [w for line in rng.sample(lines, 300) for w in line]
+    for low, high in ((15, 25), (25, 50), (50, 100), (100, 300), (300, 600), (600, 1500)):
+        own = [list(x) for x in lines if low <= len(x) < high]
+        own = rng.sample(own, min(100, len(own)))
+        while len(own) < 100:
+            joined = []
+            while len(joined) < low:
+                joined += rng.choice(lines)
+            own.append(joined[: high - 1])
+        near = exact = 0
+        for words in own:
+            other = replaced(words, kind, rng, vocabulary)
+            (x, a), (y, b) = keys_and_mark(words), keys_and_mark(other)
+            near += bool(x & y) and ((a ^ b) & (2**64 - 1)).bit_count() <= line_dedup.NEAR
+            exact += bool(keys_and_mark(words, True)[0] & keys_and_mark(other, True)[0])
+        assert near >= 93, (low, near)
+        assert exact == 100
+
+
+def test_exact_keys_lose_no_group(spark):
+    """Long lines that repeat a sentence, near each other only by runs that few keys would leave out: as by brute force."""
+    rng = random.Random(5)
+    sentence = [f"word{i}" for i in range(20)]
+    rows = []
+    for d in range(24):
+        w = sentence * (2 + d % 5)
+        for i in rng.sample(range(len(w)), len(w) // (5 + d % 7)):
+            w[i] = f"x{rng.randrange(10**6)}"
+        rows.append((d, " ".join(w)))
+    got = line_dedup.line_groups(spark.createDataFrame(rows, "doc_id long, text string"), exact=True).collect()
+    links = [(i, j) for i in range(24) for j in range(i) if line_dedup.similar(rows[i][1], rows[j][1])]
+    assert links and sorted((r["doc_id"], r["class_doc_id"]) for r in got) == list(enumerate(roots(24, links)))
