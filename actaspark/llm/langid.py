@@ -12,8 +12,9 @@ each block's transfer matrix is computed, blocks are chained, and then all block
 exact and takes long documents in their stride.
 
 The model is fitted on the driver, on a window of words of each document of a bounded sample (``learn``): at most
-``per_language`` distinct texts of each label and ``WINDOW`` words of each, so labels are expected to be a set of
-languages (some hundreds at most).
+``per_language`` distinct texts of each label and ``WINDOW`` words of each. The fit draws PER_LABEL sequences of
+BLOCK words for each label. Windows, sequences and weights are bounded in all (``MAX_WINDOWS``, ``MAX_SEQUENCES``,
+``CELLS``), so beyond 20 labels each has fewer windows, beyond 32 fewer buckets and beyond 40 fewer sequences.
 
 Defined results: null text, or text without a letter, is ``und`` with score 0 and no spans; without labelled
 documents everything is ``und``; with one language all words have it; ties go to the first language by code
@@ -39,8 +40,12 @@ _WORDS = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 18
 ORDERS = (1, 2, 3, 4, 5)
 BLOCK = 64
-#: Words of a document that the fit may see.
-WINDOW = 128
+#: Words of a document that the fit may see, and windows of all labels together.
+WINDOW, MAX_WINDOWS = 128, 30_000
+#: Spliced sequences of BLOCK words that the fit draws: for each label, and in all.
+PER_LABEL, MAX_SEQUENCES = 1000, 40_000
+#: Weights of a model (buckets times labels) at most: 64 MB for each of two arrays on the driver, 32 MB to broadcast.
+CELLS = 1 << 23
 #: Labels whose counts (a few bytes each) are broadcast; more are joined by a shuffle.
 MAX_BROADCAST_LANGUAGES = 10_000
 
@@ -56,8 +61,8 @@ def words(text: str | None) -> list[str]:
     return [w for run in found for w in "".join(c if c.isalpha() else " " for c in run).split()]
 
 
-def word_features(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(word, bucket) of every feature of ``tokens``: bordered character n-grams, and the word."""
+def word_features(tokens: list[str], size: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+    """(word, bucket of ``size``, a power of two) of every feature of ``tokens``: bordered character n-grams, and the word."""
     chars = np.frombuffer(("\n" + "\n".join(tokens) + "\n").encode("utf-32-le"), np.uint32).astype(np.uint64)
     border = chars == 10
     upto = np.cumsum(border)
@@ -77,15 +82,15 @@ def word_features(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
                 good &= ~(border[: len(chars) - n + 1] & border[n - 1 :])
             x = (h[good] ^ np.uint64(n * 0x9E3779B9)) * np.uint64(0x9E3779B97F4A7C15)
             owners.append(upto[: len(chars) - n + 1][good] - 1)
-            buckets.append((x >> np.uint64(46)).astype(np.int64))
+            buckets.append((x >> np.uint64(46)).astype(np.int64) & (size - 1))
     owners.append(np.arange(len(tokens)))
-    buckets.append(np.array([zlib.crc32(w.encode(), 7) & (BUCKETS - 1) for w in tokens], np.int64))
+    buckets.append(np.array([zlib.crc32(w.encode(), 7) & (size - 1) for w in tokens], np.int64))
     return np.concatenate(owners).astype(np.int64), np.concatenate(buckets)
 
 
 @dataclass(frozen=True)
 class Model:
-    """``emission``: (BUCKETS, languages); ``transition``: log weights, from row to column; ``start``: log weights."""
+    """``emission``: (buckets, languages); ``transition``: log weights, from row to column; ``start``: log weights."""
 
     languages: tuple[str, ...]
     emission: np.ndarray
@@ -93,7 +98,7 @@ class Model:
     start: np.ndarray
 
     def emissions(self, tokens: list[str]) -> np.ndarray:
-        owner, bucket = word_features(tokens)
+        owner, bucket = word_features(tokens, len(self.emission))
         out = np.empty((len(tokens), len(self.languages)), np.float32)
         for k in range(out.shape[1]):
             out[:, k] = np.bincount(owner, self.emission[bucket, k], len(tokens))
@@ -202,18 +207,25 @@ def spliced(texts: list[list[str]], labels: np.ndarray, n: int, length: int, rng
     return tokens, np.array(gold)
 
 
-def fit(texts: list[list[str]], labels: np.ndarray, languages: tuple[str, ...], sequences: int = 4000, length: int = BLOCK, epochs: int = 5, batch: int = 250, rate: float = 0.15, seed: int = 5) -> Model:
-    """Stochastic gradient ascent (Adagrad) on the likelihood of spliced sequences, with a small L2 pull."""
+def buckets_for(languages: int) -> int:
+    """Feature buckets, a power of two: BUCKETS, or fewer if the model had more than CELLS weights."""
+    return max(1 << 10, min(BUCKETS, 1 << (max(1, CELLS // max(1, languages)).bit_length() - 1)))
+
+
+def fit(texts: list[list[str]], labels: np.ndarray, languages: tuple[str, ...], sequences: int | None = None, length: int = BLOCK, epochs: int = 5, batch: int = 250, rate: float = 0.15, seed: int = 5) -> Model:
+    """Stochastic gradient ascent (Adagrad) on the likelihood of spliced sequences, by default PER_LABEL for
+    each language and MAX_SEQUENCES in all, with a small L2 pull."""
     m = len(languages)
-    emission, transition, start = np.zeros((BUCKETS, m)), np.zeros((m, m)), np.zeros(m)
+    sequences, buckets_used = sequences or min(PER_LABEL * m, MAX_SEQUENCES), buckets_for(m)
+    emission, transition, start = np.zeros((buckets_used, m)), np.zeros((m, m)), np.zeros(m)
     if m > 1:
         rng = np.random.default_rng(seed)
-        g_e, g_t, g_s = np.full((BUCKETS, m), 1e-6), np.full((m, m), 1e-6), np.full(m, 1e-6)
+        g_e, g_t, g_s = np.full((buckets_used, m), 1e-6), np.full((m, m), 1e-6), np.full(m, 1e-6)
         tokens, gold = spliced(texts, labels, sequences, length, rng)
         vocabulary = {w: i for i, w in enumerate(dict.fromkeys(tokens))}
         names, owners, buckets = list(vocabulary), [], []
         for begin in range(0, len(names), 10_000):
-            owner, bucket = word_features(names[begin : begin + 10_000])
+            owner, bucket = word_features(names[begin : begin + 10_000], buckets_used)
             order = np.argsort(owner, kind="stable")
             owners.append((owner[order] + begin).astype(np.int32))
             buckets.append(bucket[order].astype(np.int32))
@@ -260,17 +272,19 @@ def _windows(size: int):
     return cut
 
 
-def learn(labelled: DataFrame, per_language: int = 1500, window: int = WINDOW, **options) -> Model | None:
+def learn(labelled: DataFrame, per_language: int = 1500, window: int = WINDOW, windows: int = MAX_WINDOWS, **options) -> Model | None:
     """Fit on a bounded sample of (text, lang): about ``per_language`` distinct texts of each language, chosen by a
-    hash of the text, and of each a window of at most ``window`` words, at a place that the hash gives. Every
-    labelled text may be drawn, however long. None without any.
+    hash of the text, and of each a window of at most ``window`` words, at a place that the hash gives, and about
+    ``windows`` of all languages together. Every labelled text may be drawn, however long. None without any.
 
     The driver receives the windows, and a count for each language."""
     batch_bytes(labelled.sparkSession)
     rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang", F.xxhash64("text").alias("draw"))
     counts = stored(rows.groupBy(F.col("lang").alias("own")).agg(F.approx_count_distinct("draw").alias("n")), "languages")
-    counts = F.broadcast(counts) if counts.count() <= MAX_BROADCAST_LANGUAGES else counts
-    below = F.least(F.lit(1_000_003.0), F.ceil(F.lit(per_language * 1_000_003.0) / F.col("n")))
+    n_languages = counts.count()
+    counts = F.broadcast(counts) if n_languages <= MAX_BROADCAST_LANGUAGES else counts
+    each = min(per_language, windows / max(1, n_languages))
+    below = F.least(F.lit(1_000_003.0), F.ceil(F.lit(each * 1_000_003.0) / F.col("n")))
     drawn = rows.join(counts, F.col("lang") == F.col("own")).filter(F.pmod("draw", F.lit(1_000_003)) < below).select("text", "lang", "draw")
     parts = drawn.mapInArrow(_windows(window), "lang string, draw long, words string").filter("words <> ''")
     sample = sorted((r["lang"], r["draw"], r["words"]) for r in parts.dropDuplicates(["lang", "draw"]).collect())

@@ -200,3 +200,19 @@ def test_long_texts_are_learned(spark):
     assert model.languages == ("en", "fr")
     docs = spark.createDataFrame([(1, "le chat dort"), (2, "the dog sleeps"), (3, "12 \u00bd")], "doc_id long, text string")
     assert {r["doc_id"]: r["lang_pred"] for r in langid.label(docs, model).collect()} == {1: "fr", 2: "en", 3: "und"}
+
+
+def test_models_of_many_languages_are_bounded():
+    for m in (1, 2, 8, 32, 33, 100, 300, 10_000):
+        size = langid.buckets_for(m)
+        assert size & (size - 1) == 0 and size <= langid.BUCKETS and (size * m <= langid.CELLS or size == 1 << 10)
+    assert langid.buckets_for(32) == langid.BUCKETS
+    rng = random.Random(3)
+    owner, bucket = langid.word_features(["abc", "déf"], 1 << 12)
+    assert set(owner.tolist()) == {0, 1} and bucket.max() < 1 << 12
+    vocabularies = [["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(30)] for _ in range(12)]
+    texts = [[rng.choice(vocabularies[k % 12]) for _ in range(70)] for k in range(240)]
+    model = langid.fit(texts, np.arange(240) % 12, tuple(f"l{k:02d}" for k in range(12)), sequences=600, epochs=2)
+    held = langid.Labeller(model)
+    lengths, p = held.marginals([" ".join(rng.choice(v) for _ in range(20)) for v in vocabularies])
+    assert p.reshape(12, 20, 12).sum(axis=1).argmax(axis=1).tolist() == list(range(12))
