@@ -44,7 +44,7 @@ def quality_weight(column: str = "text") -> Column:
 def with_keys(docs: DataFrame, seed: int, weight: Column | None = None) -> DataFrame:
     """``docs`` with size, tie and key (both from the document alone, so reruns agree) and the class of the key."""
     tie = F.xxhash64(F.col("doc_id"), F.col("text"), F.lit(seed))
-    u = (F.shiftrightunsigned("mix_tie", 11).cast("double") + 0.5) * (2.0**-53)
+    u = F.least((F.shiftrightunsigned("mix_tie", 11).cast("double") + 0.5) * (2.0**-53), F.lit(1 - 2.0**-53))
     key = -F.log(u) / F.greatest(weight if weight is not None else quality_weight(), F.lit(1e-6))
     keyed = docs.withColumns({"mix_size": n_words(), "mix_tie": tie}).withColumn("mix_key", key)
     return keyed.withColumn("mix_class", F.floor(F.log2("mix_key") * CLASSES).cast("int"))
