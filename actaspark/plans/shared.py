@@ -1,11 +1,11 @@
-"""The folder that driver and executors share, and tables in it."""
+"""The folder that driver and executors share, tables in it, and rows dealt to all cores."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local: dict[str, str] = {}
 
@@ -19,3 +19,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         app = spark.sparkContext.applicationId
         root = _local.setdefault(app, f"file://{tempfile.mkdtemp(prefix='actaspark-')}")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` dealt by ``key`` to as many tasks as the session deals: a table of few bytes is one task when read, however
+    dear its rows are, and tasks of a shuffle without a number are put together again by their bytes."""
+    spark = rows.sparkSession
+    return rows.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism), key)
