@@ -193,3 +193,15 @@ def test_resolve_company(spark):
     ]
     got = [tuple(r["c"]) for r in spark.createDataFrame(rows, schema).select(merge.resolve_company().alias("c")).collect()]
     assert got == [("0123.456.749", "A", "S 2", "ejustice", 1.0), ("0400.000.183", "A", "R 1", "bce", 0.8), (None, UNKNOWN, None, "fallback", 0.5)]
+
+
+def test_company_sheet_builds_a_list_once_for_all_with_the_same_links(spark):
+    make = spark.createDataFrame
+    companies = make([(k,) for k in range(8)], "bce int")
+    none, links = make([], "bce int, id int"), make([(k, a) for k in range(7) for a in ((9, 8), (8, 9), (9,), (9, 9), (7,))[k % 5]], "bce int, adm int")
+    args = (companies, "bce", none, make([], "id int, title string"), "id", links, make([(9, "N"), (9, "M"), (8, "O")], "adm int, nom string"), "adm", ["nom"])
+    want = {0: "MNO", 1: "MNO", 2: "MN", 3: "MMNN", 4: None, 5: "MNO", 6: "MNO", 7: None}
+    assert {r["bce"]: r["administrateurs"] and "".join(x["nom"] for x in r["administrateurs"]) for r in company.sheet_view(*args).collect()} == want
+    told = company.sheet_view(*args, lambda people: F.concat(F.array_join(people["nom"], ""), F.uuid())).collect()
+    marks = {r["bce"]: r["administrateurs"] for r in told if r["administrateurs"]}
+    assert {k: m[:-36] for k, m in marks.items()} == {k: w for k, w in want.items() if w} and len(set(marks.values())) == 3
