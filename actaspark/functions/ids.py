@@ -33,12 +33,13 @@ def is_valid_number(c: Column) -> Column:
     return F.coalesce(F.when(F.length(d) == 10, good), F.lit(False))
 
 
-def extract_numbers(text: Column) -> Column:
-    """All 4-3-3 numbers of a text, then all 5-5 ones, as digits; each once; institutions left out."""
+def extract_numbers(text: Column, left_out: tuple[str, ...] = INSTITUTION_NUMBERS) -> Column:
+    """All 4-3-3 numbers of a text, then all 5-5 ones, as digits; each once; those ``left_out`` are not."""
     first = F.regexp_extract_all(text, F.lit(r"(?d)(?<![0-9])([0-9]{4}[\s.\-]?[0-9]{3}[\s.\-]?[0-9]{3})(?![0-9])"), F.lit(1))
     second = F.regexp_extract_all(text, F.lit(r"(?<![0-9])([0-9]{5}[\s.\-]?[0-9]{5})(?![0-9])"), F.lit(1))
     found = F.transform(F.concat(first, second), digits)
-    return F.array_except(F.array_distinct(found), F.array(*[F.lit(n) for n in INSTITUTION_NUMBERS]))
+    found = F.array_distinct(found)
+    return F.filter(found, lambda n: ~n.isin(*left_out)) if left_out else found
 
 
 def is_public_entity(c: Column) -> Column:
