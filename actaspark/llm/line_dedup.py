@@ -28,6 +28,7 @@ further columns are kept by ``without_repeats`` and ignored by the others, whate
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -48,6 +49,8 @@ KEYS, PER_KEY = 8, 50
 ODD_FIRST, ODD = 48, 512
 #: Documents that are read again are found by a broadcast up to so many ids, and by a shuffle beyond.
 MAX_BROADCAST_IDS = 400_000
+#: Words of the longest line whose edits are counted by bits, each word at most as many bits.
+BITS = 20_000
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 #: ASCII letters and digits, line ends and everything beyond ASCII stay; the rest becomes blanks.
 _KEPT = bytes(b if b >= 128 or b == 10 or chr(b).isalnum() else 32 for b in range(256))
@@ -215,8 +218,11 @@ def hashed_lines(docs: DataFrame, parts: int = 2, exact: bool = False) -> DataFr
 
 
 def within(a: list[str], b: list[str], most: int) -> bool:
-    """Whether at most ``most`` words must be inserted, removed or replaced to turn ``a`` into ``b``: the
-    furthest place on each diagonal for 0, 1, 2, ... edits."""
+    """Whether at most ``most`` words must be inserted, removed or replaced to turn ``a`` into ``b``.
+
+    As many edits are needed as the larger of the bags' two differences has words; beyond that, all rows of a column of
+    the table of distances are turned at once, as the bits of a number (Myers, Hyyrö). Bits of very long lines would
+    take too much memory: for them, the furthest place on each diagonal for 0, 1, 2, ... edits."""
     n, m = len(a), len(b)
     if abs(n - m) > most:
         return False
@@ -225,7 +231,43 @@ def within(a: list[str], b: list[str], most: int) -> bool:
         head += 1
     while n > head and m > head and a[n - 1] == b[m - 1]:
         n, m = n - 1, m - 1
-    a, b, n, m = a[head:n], b[head:m], n - head, m - head
+    a, b = sorted((a[head:n], b[head:m]), key=len)
+    n, m = len(a), len(b)
+    if m <= most or not n:
+        return m <= most
+    left = Counter(b)
+    left.subtract(a)
+    if sum(x for x in left.values() if x > 0) > most:
+        return False
+    return _within_by_bits(a, b, most) if n <= BITS else _within_by_diagonals(a, b, most)
+
+
+def _within_by_bits(a: list[str], b: list[str], most: int) -> bool:
+    """``within`` of lines that aren't empty: bits of ``up`` and ``down`` tell which rows of a column of the table of
+    distances are one more or less than the row before."""
+    n, m, places = len(a), len(b), {}
+    for i, word in enumerate(a):
+        places[word] = places.get(word, 0) | 1 << i
+    every, last = (1 << n) - 1, 1 << (n - 1)
+    up, down, distance = every, 0, n
+    for j, word in enumerate(b):
+        equal = places.get(word, 0)
+        level = equal | down
+        across = (((equal & up) + up) ^ up) | equal
+        more, less = (down | ~(across | up)) & every, up & across
+        if more & last:
+            distance += 1
+        elif less & last:
+            distance -= 1
+        if distance - (m - 1 - j) > most:
+            return False
+        more, less = more << 1 | 1, less << 1
+        up, down = (less | ~(level | more)) & every, more & level & every
+    return distance <= most
+
+
+def _within_by_diagonals(a: list[str], b: list[str], most: int) -> bool:
+    n, m = len(a), len(b)
     goal, far = m - n, {0: 0}
     for edits in range(most + 1):
         nxt: dict[int, int] = {}

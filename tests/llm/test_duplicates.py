@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -341,3 +342,27 @@ def test_exact_keys_lose_no_group(spark):
     got = line_dedup.line_groups(spark.createDataFrame(rows, "doc_id long, text string"), exact=True).collect()
     links = [(i, j) for i in range(24) for j in range(i) if line_dedup.similar(rows[i][1], rows[j][1])]
     assert links and sorted((r["doc_id"], r["class_doc_id"]) for r in got) == list(enumerate(roots(24, links)))
+
+
+def test_within_by_bits():
+    """As the furthest places on diagonals and the full table say, at and beyond the limit, and soon for long lines."""
+    rng = random.Random(6)
+    for _ in range(1500):
+        a, b = ([rng.choice("abcdefgh"[: rng.choice((2, 8))]) for _ in range(rng.randint(1, 70))] for _ in range(2))
+        if rng.random() < 0.7:
+            b = list(a)
+            for _ in range(rng.randint(0, 9)):
+                at = rng.randrange(len(b) + 1)
+                b[at : at + rng.choice((0, 1, 1))] = rng.choices("abcxyz", k=rng.choice((0, 1, 1)))
+        true = edits(a, b)
+        for most in (true - 1, true, true + 1):
+            assert line_dedup.within(a, b, most) == (true <= most)
+            if a and b and most >= 0:
+                assert line_dedup._within_by_bits(a, b, most) == line_dedup._within_by_diagonals(a, b, most) == (true <= most)
+    line = [f"w{rng.randrange(500)}" for _ in range(6000)]
+    other, far = list(line), rng.sample(line, len(line))
+    for i in rng.sample(range(6000), 1200):
+        other[i] = "x"
+    start = time.process_time()
+    assert line_dedup.similar(" ".join(line), " ".join(other)) and not line_dedup.similar(" ".join(line), " ".join(far))
+    assert time.process_time() - start < 1.5
