@@ -105,12 +105,12 @@ def odd_sketches(hashes: np.ndarray, sizes: np.ndarray, bits: int) -> np.ndarray
     return out
 
 
-def may_differ(a: Column, b: Column, most: Column, bits: int) -> Column:
+def may_differ(a: Column, b: Column, most: Column, bits: int, deviations: float = 5) -> Column:
     """Whether two sets may differ in at most ``most`` elements: their odd sketches then differ in no more bits, and
-    in no more than are expected of so many elements and five standard deviations."""
+    in no more than are expected of so many elements and five standard deviations (or as many as are asked for)."""
     differ = sum((F.bit_count(a[k].bitwiseXOR(b[k])) for k in range(bits // 64)), F.lit(0))
     share = (1 - F.pow(F.lit(1 - 2 / bits), most)) / 2
-    return differ <= F.when(most <= bits // 4, most).otherwise(F.least(most, bits * share + 5 * F.sqrt(bits * share * (1 - share))))
+    return differ <= F.when(most <= bits // 4, most).otherwise(F.least(most, bits * share + deviations * F.sqrt(bits * share * (1 - share))))
 
 
 def text_of(column: str = "text") -> Column:

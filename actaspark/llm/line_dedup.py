@@ -5,8 +5,8 @@ without blanks, such as Chinese or Thai, is a word). Each distinct line gets a S
 lines are one group, however short; a line of signs only is compared as it stands. ``line_groups`` links two lines of at least ``MIN_WORDS`` words if their word edit
 similarity (1 - edits / longer line) is at least 0.8. Its bucket keys are pigeonhole blocks of words: an edit
 breaks at most three runs of three words, so of a line's runs, in any order that is the same for all lines, the first
-3 * edits + 1 hold one of any linked line. With ``exact`` all of these are taken, and no link is lost to the keys.
-Otherwise ``KEYS`` and (words / ``PER_KEY``) squared of them are, which is all that lines below 15 words and beyond
+3 * edits + 1 hold one of any linked line. With ``exact``, as the query and the pipeline call it, all of these are taken and
+SimHash is no test, so no link is lost. Otherwise ``KEYS`` and (words / ``PER_KEY``) squared of them are, which is all that lines below 15 words and beyond
 1,500 need; README has the measured recall between. The order prefers runs of long words, which are rare, so
 buckets stay small, but not so much that an edit of the longest words takes all keys away. Within a bucket lines are tested by parities of their words, which bound their difference, and by
 SimHash: similarity 0.8 flips about 13 of 64 bits (deviation 3.2), ``NEAR`` = 27 are let through. The words decide. Of every connected group (equal lines included) the
@@ -358,7 +358,7 @@ def line_classes(docs: DataFrame) -> DataFrame:
 def line_groups(docs: DataFrame, exact: bool = False) -> DataFrame:
     """Per line: doc_id, line_no, class_doc_id and class_line_no (the kept occurrence of its group), kept.
 
-    With ``exact`` every linked pair shares a key, at about 0.6 keys a word."""
+    With ``exact`` every linked pair shares a key, at about 0.6 keys a word, and is tested by its words alone."""
     return _classes(docs, strict=False, exact=exact).drop("row")
 
 
@@ -386,10 +386,12 @@ def _classes(docs: DataFrame, strict: bool, exact: bool = False) -> DataFrame:
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def likely(x: str, y: str) -> Column:
+        if exact:
+            return F.lit(True)
         return _differ(x, y, "low", "high") <= RADIUS if strict else _differ(x, y, "low") <= NEAR
 
     def alike(x: str, y: str) -> Column:
-        return likely(x, y) & _bags_allow(F.col(f"{x}.n_words"), F.col(f"{y}.n_words"), lambda most: may_differ(F.col(f"{x}.odd"), F.col(f"{y}.odd"), most, ODD))
+        return likely(x, y) & _bags_allow(F.col(f"{x}.n_words"), F.col(f"{y}.n_words"), lambda most: may_differ(F.col(f"{x}.odd"), F.col(f"{y}.odd"), most, ODD, 8 if exact else 5))
 
     def marked(x: str, y: str) -> Column:
         count = lambda s: F.col(f"{s}.mark").bitwiseAND(F.lit(0xFFFF))

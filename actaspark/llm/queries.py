@@ -78,7 +78,7 @@ def op8_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_simhash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import line_groups
 
-    return line_groups(table(spark, sf_dir, "documents"))
+    return line_groups(table(spark, sf_dir, "documents"), exact=True)
 
 
 def op6_png_media(spark: SparkSession, sf_dir: str) -> DataFrame:

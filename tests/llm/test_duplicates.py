@@ -366,3 +366,27 @@ def test_within_by_bits():
     start = time.process_time()
     assert line_dedup.similar(" ".join(line), " ".join(other)) and not line_dedup.similar(" ".join(line), " ".join(far))
     assert time.process_time() - start < 1.5
+
+
+def test_query_and_pipeline_lose_no_similar_lines(spark, tmp_path):
+    """Pairs with the most edits that a link allows, which share none of the keys that are taken by default."""
+    import corpus_pipeline
+    from actaspark.llm.queries import op5_simhash_lines
+
+    rng, pairs = random.Random(12), []
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda: "".join(rng.choice(letters) for _ in range(rng.randint(2, 9))).encode()
+    while len(pairs) < 12:
+        words = [word() for _ in range(45)]
+        for _ in range(60):
+            other = replaced(words, "random", rng, [word() for _ in range(50)])
+            if not keys_and_mark(words)[0] & keys_and_mark(other)[0]:
+                pairs.append((words, other))
+                break
+    texts = [b" ".join(w).decode() for pair in pairs for w in pair]
+    docs = spark.createDataFrame([(i, t, "en", "a") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["class_doc_id"] for r in op5_simhash_lines(spark, str(tmp_path)).collect()}
+    assert got == {i: i // 2 * 2 for i in range(24)}
+    left = corpus_pipeline.line_dedup_stage(spark, docs, str(tmp_path))
+    assert sorted(r["doc_id"] for r in left.collect()) == list(range(0, 24, 2))
