@@ -33,7 +33,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of repeated or nearly repeated lines the first stays."""
     ship(spark)
-    left = line_dedup.without_repeats(docs)
+    left = line_dedup.without_repeats(docs, exact=True)
     return left.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else left
 
 
