@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from actaspark.operators import mandataries, parties, postings, rule_hits, rules
 from actaspark.operators.packs import appeal, enterprise, first_instance, strike_off
 from actaspark.plans.catalogue import _TAGS_SQL, _WORDS_SQL, DEMO_PACK, query
-from actaspark.plans.shared import shared_dir
+from actaspark.plans.shared import shared_dir, spread
 from actaspark.plans.tag_samples import SAMPLES
 
 _PLACED_SQL = _WORDS_SQL.replace("words AS (SELECT doc_id, rank, unnest(", "listed AS (SELECT doc_id, rank, (").replace(") AS word FROM", ") AS w FROM") + ", words AS (SELECT doc_id, rank, unnest(w) AS word, unnest(range(len(w))) AS pos FROM listed)"
@@ -68,7 +68,7 @@ def q68_every_tag(t):
     spark = t("customer").sparkSession
     samples = F.array(*[F.struct(*[F.lit(x) for x in s]) for s in _SAMPLES])
     s = F.element_at(samples, (F.col("c_custkey") % len(_SAMPLES) + 1).cast("int"))
-    rows = t("customer").select("c_custkey", s["col1"].alias("pack"), s["col2"].alias("wanted"), F.concat(s["col3"], F.lit(". ~ "), F.col("c_name")).alias("text"))
+    rows = spread(t("customer").select("c_custkey", s["col1"].alias("pack"), s["col2"].alias("wanted"), F.concat(s["col3"], F.lit(". ~ "), F.col("c_name")).alias("text")), "c_custkey")
     rule_hits.register(spark, _PACKS, "pack_hits")
     found = None
     for name, pack in _PACKS.items():
@@ -89,7 +89,7 @@ def q69_administrators(t):
     who = t("customer").join(t("supplier").select((F.col("s_suppkey")).alias("k"), "s_name"), F.col("k") == F.col("c_custkey") % 150, "left")
     near = F.when(F.col("c_custkey") % 3 > 0, F.lit("Maître ")).otherwise(F.concat(F.lit("Maître "), F.repeat(F.lit("x "), 200)))
     said = F.concat(F.lit("L'affaire. "), near, F.coalesce("s_name", F.lit("personne")), F.repeat(F.lit(" y"), 200), F.when(F.col("c_custkey") % 2 == 0, ". Curateur : Me Alice EXEMPLE, rue Haute 1.").otherwise("."))
-    rows = who.select("c_custkey", said.alias("text")).withColumn("found", parties.administrators(F.col("text")))
+    rows = spread(who.select("c_custkey", said.alias("text")), "c_custkey").withColumn("found", parties.administrators(F.col("text")))
     rows = mandataries.mandataries(rows, "c_custkey", "text", t("supplier").select(F.col("s_name").alias("nom")))
     listed = F.filter("mandataries", lambda m: m["role"] == "inconnu")
     rows = rows.select("c_custkey", mandataries.merged(listed, F.col("found")).alias("a"))
