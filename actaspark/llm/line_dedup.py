@@ -6,7 +6,7 @@ lines are one group, however short; a line of signs only is compared as it stand
 similarity (1 - edits / longer line) is at least 0.8. Its bucket keys are pigeonhole blocks of words: an edit
 breaks at most three runs of three words, so of a line's runs, in any order that is the same for all lines, the first
 3 * edits + 1 hold one of any linked line. With ``exact``, as the query and the pipeline call it, all of these are taken and
-SimHash is no test, so no link is lost. Otherwise ``KEYS`` and (words / ``PER_KEY``) squared of them are, which is all that lines below 15 words and beyond
+SimHash is no test, so keys lose no link (parities of long lines are still a test, of eight standard deviations). Otherwise ``KEYS`` and (words / ``PER_KEY``) squared of them are, which is all that lines below 15 words and beyond
 1,500 need; README has the measured recall between. The order prefers runs of long words, which are rare, so
 buckets stay small, but not so much that an edit of the longest words takes all keys away. Within a bucket lines are tested by parities of their words, which bound their difference, and by
 SimHash: similarity 0.8 flips about 13 of 64 bits (deviation 3.2), ``NEAR`` = 27 are let through. The words decide. Of every connected group (equal lines included) the
