@@ -6,7 +6,8 @@ lines are one group, however short; a line of signs only is compared as it stand
 similarity (1 - edits / longer line) is at least 0.8. Its bucket keys are pigeonhole blocks of words: an edit
 breaks at most three runs of three words, so of a line's runs, in any order that is the same for all lines, the first
 3 * edits + 1 hold one of any linked line. With ``exact``, as the query and the pipeline call it, all of these are taken and
-SimHash is no test, so keys lose no link (parities of long lines are still a test, of eight standard deviations). Otherwise ``KEYS`` and (words / ``PER_KEY``) squared of them are, which is all that lines below 15 words and beyond
+SimHash is no test, so keys lose no link (parities of long lines are still a test, of eight standard deviations); ``shared_runs``
+deals them and leaves out lines that share too few, and each bucket is cut into groups that parities allow. Otherwise ``KEYS`` and (words / ``PER_KEY``) squared of them are, which is all that lines below 15 words and beyond
 1,500 need; README has the measured recall between. The order prefers runs of long words, which are rare, so
 buckets stay small, but not so much that an edit of the longest words takes all keys away. Within a bucket lines are tested by parities of their words, which bound their difference, and by
 SimHash: similarity 0.8 flips about 13 of 64 bits (deviation 3.2), ``NEAR`` = 27 are let through. The words decide. Of every connected group (equal lines included) the
@@ -37,8 +38,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import shared_runs
 from .common import batch_bytes, forget, may_differ, odd_sketches, release, slices, stored, text_of
 from .graph import linked_groups
+from .shared_runs import NODE
 
 MIN_WORDS, RADIUS, SIMILARITY = 5, 3, 0.8
 #: Bits of 64 in which SimHashes of similar lines may differ.
@@ -114,8 +117,9 @@ def _keys_taken(n: np.ndarray, exact: bool) -> np.ndarray:
     return keys_needed(n) if exact else np.minimum(keys_needed(n), KEYS + (n // PER_KEY) ** 2)
 
 
-def block_keys(words: np.ndarray, letters: np.ndarray, starts: np.ndarray, sizes: np.ndarray, exact: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """(line, key), by line, for consecutive stretches of at least five word hashes; ``letters`` has the words' lengths.
+def _ordered_runs(words: np.ndarray, letters: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(line, run, place in order), by line, of the distinct runs of consecutive stretches of at least five word hashes, and
+    (line, key) of both ends of those of five; ``letters`` has the words' lengths.
 
     Runs are ordered by exponential keys, weighted by the square of a run's letters."""
     line = np.repeat(np.arange(len(sizes)), sizes)
@@ -138,8 +142,14 @@ def block_keys(words: np.ndarray, letters: np.ndarray, starts: np.ndarray, sizes
     fresh = np.append(True, (runs[1:] != runs[:-1]) | (owner[1:] != owner[:-1]))
     owner, runs = owner[fresh], runs[fresh]
     first = np.searchsorted(owner, np.arange(len(sizes)))
-    few = np.arange(len(owner)) - first[owner] < _keys_taken(sizes, exact)[owner]
-    owner, keys = np.concatenate([owner[few], five, five]), np.concatenate([runs[few], ends]).view(np.int64)
+    return owner, runs, np.arange(len(owner)) - first[owner], np.concatenate([five, five]), ends
+
+
+def block_keys(words: np.ndarray, letters: np.ndarray, starts: np.ndarray, sizes: np.ndarray, exact: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key), by line, for consecutive stretches of at least five word hashes; ``letters`` has the words' lengths."""
+    owner, runs, place, five, ends = _ordered_runs(words, letters, starts, sizes)
+    few = place < _keys_taken(sizes, exact)[owner]
+    owner, keys = np.concatenate([owner[few], five]), np.concatenate([runs[few], ends]).view(np.int64)
     order = np.argsort(owner, kind="stable")
     return owner[order], keys[order]
 
@@ -148,6 +158,106 @@ def _hashes(words: list[list[bytes]]) -> np.ndarray:
     return np.frombuffer(b"".join([xxhash.xxh3_64_digest(x) for w in words for x in w]), ">u8").astype(np.uint64)
 
 
+def _stirred(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(32))) * _MIX
+        x = (x ^ (x >> np.uint64(29))) * _MIX
+    return x ^ (x >> np.uint64(32))
+
+
+def _word_hashes(data: bytes, first: np.ndarray, letters: np.ndarray) -> np.ndarray:
+    """Hashes of the words of ``data``, all of them eight bytes at a time; long ones one by one."""
+    eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    mask = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+    out = _stirred((eight[first] & mask[np.minimum(letters, 8)]) ^ (letters.astype(np.uint64) << np.uint64(56)))
+    longer = np.flatnonzero(letters > 8)
+    for at in range(8, 64, 8):
+        if not len(longer):
+            break
+        out[longer] = _stirred(out[longer] ^ _stirred(eight[first[longer] + at] & mask[np.minimum(letters[longer] - at, 8)]) + np.uint64(at))
+        longer = longer[letters[longer] > at + 8]
+    for i in longer:
+        out[i] = xxhash.xxh3_64_intdigest(data[first[i] : first[i] + letters[i]])
+    return out
+
+
+def _laid_out(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """``line_words`` of all texts at once: lines of each text, words of each line, place and length of each word, and the bytes
+    that these places are in."""
+    plain = [_lowered(t) for t in texts]
+    plain = [(t if t.isascii() else _UNSPACED.sub(r" \1 ", t)).encode().translate(_KEPT) for t in plain]
+    data = b"\n".join([*plain, b"\0" * 8])
+    raw = np.frombuffer(data, np.uint8)[:-8]
+    between = (raw == 32) | (raw == 10)
+    after = np.append(True, between[:-1])
+    first, ends = np.flatnonzero(after & ~between), np.flatnonzero(between & ~after)
+    line = np.searchsorted(np.flatnonzero(raw == 10), first)
+    counts = np.array([t.count(b"\n") + 1 for t in plain], np.int64)
+    return counts, np.bincount(line, minlength=counts.sum()), first, ends - first, data
+
+
+def _names(texts: list[str | None], counts: np.ndarray, sizes: np.ndarray, first: np.ndarray, letters: np.ndarray, data: bytes) -> list[bytes]:
+    """The words of every line with a blank between; of a line of signs only these, behind a line end."""
+    raw = np.frombuffer(data, np.uint8)[:-8]
+    kept = (raw != 32) & (raw != 10)
+    line = np.repeat(np.arange(len(sizes)), sizes)
+    kept[(first + letters)[:-1][line[1:] == line[:-1]]] = True
+    joined = raw[kept].tobytes()
+    ends = np.cumsum(np.bincount(line, letters, len(sizes)).astype(np.int64) + np.maximum(sizes - 1, 0))
+    names = [joined[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+    at = np.cumsum(counts) - counts
+    for k in np.flatnonzero(np.add.reduceat(sizes == 0, at)) if len(at) else ():
+        for i, signs in enumerate(_signs(texts[k]), at[k]):
+            names[i] = names[i] or (signs and b"\n" + signs)
+    return names
+
+
+def _short_node(name: bytes) -> tuple[int, int]:
+    """Of a line, NODE bits of a hash, and another hash."""
+    return xxhash.xxh3_64_intdigest(name) & ((1 << NODE) - 1), int(np.uint64(xxhash.xxh3_64_intdigest(name, 1)).astype(np.int64))
+
+
+def _line_namer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``hashed_lines`` without keys: of every line its place, ``_short_node`` and other hash."""
+    for batch in slices(batches, "text", 2 << 20):
+        texts = batch.column("text").to_pylist()
+        counts, *laid = _laid_out(texts)
+        names = _names(texts, counts, *laid)
+        blank = np.array([not n for n in names])
+        nodes = np.array([xxhash.xxh3_64_intdigest(n) for n in names], np.uint64) & np.uint64((1 << NODE) - 1)
+        other = np.array([xxhash.xxh3_64_intdigest(n, 1) for n in names], np.uint64)
+        of = pa.array(np.repeat(np.arange(len(texts)), counts))
+        line_no = np.arange(len(names)) - np.repeat(np.cumsum(counts) - counts, counts)
+        columns = [*(batch.column(c).take(of) for c in ("doc_id", "row")), pa.array(line_no.astype(np.int32)), pa.array(nodes.view(np.int64), mask=blank), pa.array(other.view(np.int64), mask=blank)]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "line_no", "node", "low"])
+
+
+def _run_dealer(parts: int):
+    """Records of the runs of every line of at least MIN_WORDS words, for ``shared_runs``."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 2 << 20):
+            texts = batch.column("text").to_pylist()
+            counts, sizes, first, letters, data = _laid_out(texts)
+            some = sizes >= MIN_WORDS
+            if not some.any():
+                continue
+            names = _names(texts, counts, sizes, first, letters, data)
+            inside = np.repeat(some, sizes)
+            own, first, letters = sizes[some], first[inside], letters[inside]
+            line, runs, place, five, ends = _ordered_runs(_word_hashes(data, first, letters), letters, np.cumsum(own) - own, own)
+            needed = keys_needed(own)
+            least = shared_runs.least_shared(own, needed, np.bincount(line, minlength=len(own))).astype(np.uint8)
+            few = place < shared_runs.keys_dealt(own, needed)[line]
+            base = np.append((place < needed[line])[few], np.ones(len(five), bool))
+            line, keys = np.append(line[few], five), np.append(runs[few], ends)
+            nodes = np.array([xxhash.xxh3_64_intdigest(names[i]) for i in np.flatnonzero(some)], np.uint64)
+            records = shared_runs.packed(nodes[line], keys, base, shared_runs.length_code(own)[line], least[line])
+            yield from shared_runs.dealt(shared_runs.part_of(keys, parts), records)
+
+    return deal
+
+
 def _marks(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Of every line the parities of ODD_FIRST classes of words, above 16 bits of the number of its words."""
     out = np.empty(len(sizes), np.int64)
@@ -158,17 +268,17 @@ def _marks(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out | np.minimum(sizes, 0xFFFF)
 
 
-def _line_hasher(parts: int, exact: bool):
+def _line_hasher(parts: int):
     """Hashes of every line, and the first ``parts`` halves of a 128-bit SimHash."""
 
     def hash_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 << 20):
-            yield _hash_lines(batch, parts, exact)
+            yield _hash_lines(batch, parts)
 
     return hash_lines
 
 
-def _hash_lines(batch: pa.RecordBatch, parts: int, exact: bool) -> pa.RecordBatch:
+def _hash_lines(batch: pa.RecordBatch, parts: int) -> pa.RecordBatch:
     lines = [line_words(t) for t in batch.column("text").to_pylist()]
     every = [w for own in lines for w in own]
     counts = np.array([len(own) for own in lines])
@@ -191,7 +301,7 @@ def _hash_lines(batch: pa.RecordBatch, parts: int, exact: bool) -> pa.RecordBatc
             inside = np.repeat(some, sizes)
             letters = np.array([len(x) for w in long for x in w], np.int32)[inside]
             own = sizes[some]
-            line, keys = block_keys(hashes[inside], letters, np.cumsum(own) - own, own, exact)
+            line, keys = block_keys(hashes[inside], letters, np.cumsum(own) - own, own)
             at = np.flatnonzero(part)[some]
             n_keys[1:][at] = np.bincount(line, minlength=len(own))
             first_marks[at] = _marks(hashes[inside], own)
@@ -211,10 +321,10 @@ def _hash_lines(batch: pa.RecordBatch, parts: int, exact: bool) -> pa.RecordBatc
     )
 
 
-def hashed_lines(docs: DataFrame, parts: int = 2, exact: bool = False) -> DataFrame:
+def hashed_lines(docs: DataFrame, parts: int = 2) -> DataFrame:
     """Every line: doc_id, row (hash of the text), line_no, node (hash of its words; null if it is blank), low and high (SimHash), n_words, keys, mark."""
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64(F.col("text").cast("string")).alias("row"))
-    return plain.mapInArrow(_line_hasher(parts, exact), "doc_id long, row long, line_no int, node long, low long, high long, n_words int, keys array<long>, mark long")
+    return plain.mapInArrow(_line_hasher(parts), "doc_id long, row long, line_no int, node long, low long, high long, n_words int, keys array<long>, mark long")
 
 
 def within(a: list[str], b: list[str], most: int) -> bool:
@@ -296,7 +406,7 @@ def _verifier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
-def _line_reader(parts: int):
+def _line_reader(parts: int, exact: bool = False):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 << 20):
             lines = []
@@ -307,10 +417,14 @@ def _line_reader(parts: int):
                 sizes = np.array([len(w) for w in lines])
                 hashes = _hashes(lines)
                 marks = np.zeros((len(lines), 2), np.int64)
-                marks[:, :parts] = simhash(hashes, np.cumsum(sizes) - sizes, parts)
+                nodes = [line_node(w) for w in lines]
+                if exact:
+                    nodes, marks[:, 0] = zip(*(_short_node(b" ".join(w)) for w in lines))
+                else:
+                    marks[:, :parts] = simhash(hashes, np.cumsum(sizes) - sizes, parts)
                 odd = odd_sketches(hashes, sizes, ODD)
                 odd = pa.ListArray.from_arrays(pa.array(np.arange(len(lines) + 1, dtype=np.int32) * odd.shape[1]), pa.array(odd.reshape(-1)))
-                columns = [pa.array([line_node(w) for w in lines]), pa.array(marks[:, 0]), pa.array(marks[:, 1]), pa.array(sizes), odd, pa.array([b" ".join(w).decode() for w in lines])]
+                columns = [pa.array(nodes), pa.array(marks[:, 0]), pa.array(marks[:, 1]), pa.array(sizes), odd, pa.array([b" ".join(w).decode() for w in lines])]
                 yield pa.RecordBatch.from_arrays(columns, names=["node", "low", "high", "n_words", "odd", "line"])
 
     return read
@@ -336,10 +450,71 @@ def _near(marks: DataFrame, likely: Column) -> DataFrame:
     return stored(near.select(F.col("node_x").alias("node")).distinct(), "line-near")
 
 
+def _most_bits(n_words: int) -> np.ndarray:
+    """For each number of words in which two bags may differ, up to the one given, the bits that ``may_differ`` allows."""
+    most = np.arange(n_words + 1, dtype=np.float64)
+    share = (1 - (1 - 2 / ODD) ** most) / 2
+    return np.where(most <= ODD // 4, most, np.minimum(most, ODD * share + 8 * np.sqrt(ODD * share * (1 - share)) + 1e-6))
+
+
+def _alike_sets(key: np.ndarray, n: np.ndarray, odd: np.ndarray) -> np.ndarray:
+    """Of rows in order of keys and words, the first row of the group that those form which ``_bags_allow`` within a key: each is
+    compared with the 1st, 2nd, 3rd, ... after it, as long as the lengths allow a link."""
+    top, bits = np.arange(len(key)), _most_bits(20_000)
+    at = np.arange(len(key))
+    for step in range(1, len(key)):
+        at = at[at + step < len(key)]
+        edits = ((1 - SIMILARITY) * n[at + step] + 1e-9).astype(np.int64)
+        at = at[(key[at] == key[at + step]) & (n[at + step] - n[at] <= edits)]
+        if not len(at):
+            break
+        open_ = at[top[at] != top[at + step]]
+        for x in np.array_split(open_, len(open_) // 100_000 + 1):
+            y = x + step
+            most = 2 * ((1 - SIMILARITY) * n[y] + 1e-9).astype(np.int64) - (n[y] - n[x])
+            good = np.bitwise_count(odd[x] ^ odd[y]).sum(axis=1, dtype=np.int64) <= bits[np.minimum(most, len(bits) - 1)]
+            x, y = x[good], y[good]
+            while (top[x] != top[y]).any():
+                np.minimum.at(top, np.maximum(top[x], top[y]), np.minimum(top[x], top[y]))
+                while (top[top] != top).any():
+                    top = top[top]
+    return top
+
+
+def _likely_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct groups of ``_alike_sets`` of rows that come in order of keys and words."""
+    held, rows = [], 0
+
+    def cut(last: bool) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held).combine_chunks()
+        key = table.column("key").to_numpy()
+        end = len(key) if last else int(np.flatnonzero(key != key[-1])[-1]) + 1 if key[0] != key[-1] else 0
+        done = table.slice(0, end)
+        held[:] = table.slice(end).to_batches()
+        if end:
+            odd = done.column("odd").combine_chunks().flatten().to_numpy().reshape(-1, ODD // 64).view(np.uint64)
+            top = _alike_sets(key[:end], done.column("n_words").to_numpy(), odd)
+            yield from shared_runs.sets(top.astype(np.uint64), done.column("node").to_numpy().view(np.uint64))
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= 100_000:
+                yield from cut(False)
+                rows = 0
+    if held:
+        yield from cut(True)
+
+
 def _nodes(lines: DataFrame) -> DataFrame:
-    """The distinct lines: node, first (occurrence), low and high (and low_2, high_2, the same unless lines share a hash), keys, mark, n (occurrences)."""
+    """The distinct lines: node, first (occurrence), low and high (and low_2, high_2, the same unless lines share a hash), keys and
+    mark if lines have them, n (occurrences)."""
     found = lines.filter("node is not null").groupBy("node")
     first = F.min(F.struct("doc_id", "row", "line_no")).alias("first")
+    if "keys" not in lines.columns:
+        found = found.agg(first, F.min("low").alias("low"), F.max("low").alias("low_2"), F.count(F.lit(1)).alias("n"))
+        return stored(found.withColumns({"high": F.lit(0).cast("long"), "high_2": F.lit(0).cast("long")}), "line-nodes")
     return stored(found.agg(first, F.min("low").alias("low"), F.max("low").alias("low_2"), F.min("high").alias("high"), F.max("high").alias("high_2"), F.first("keys").alias("keys"), F.first("mark").alias("mark"), F.count(F.lit(1)).alias("n")), "line-nodes")
 
 
@@ -365,25 +540,37 @@ def line_groups(docs: DataFrame, exact: bool = False) -> DataFrame:
 def _classes(docs: DataFrame, strict: bool, exact: bool = False) -> DataFrame:
     batch_bytes(docs.sparkSession)
     parts = 2 if strict else 1
-    lines = hashed_lines(docs, parts, exact)
-    if strict:
-        lines = lines.withColumn("node", F.when(F.col("n_words") >= MIN_WORDS, F.col("node")))
-    lines = hashed = stored(lines.drop("n_words"), "lines")
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    if exact:
+        buckets = shared_runs.buckets(plain, _run_dealer)
+        release(docs.sparkSession)
+        named = plain.withColumn("row", F.xxhash64("text")).mapInArrow(_line_namer, "doc_id long, row long, line_no int, node long, low long")
+        lines = hashed = stored(named, "lines")
+    else:
+        lines = hashed_lines(docs, parts)
+        if strict:
+            lines = lines.withColumn("node", F.when(F.col("n_words") >= MIN_WORDS, F.col("node")))
+        lines = hashed = stored(lines.drop("n_words"), "lines")
     nodes = _nodes(lines)
     clashes = stored(nodes.filter((F.col("low") != F.col("low_2")) | (F.col("high") != F.col("high_2"))).select(F.col("node").alias("clash")), "clashes")
     clash = not clashes.isEmpty()
 
+    high = F.lit(0).cast("long") if exact else F.col("high")
+
     def apart(rows: DataFrame) -> DataFrame:
         """Lines that 64 bits don't tell apart have different SimHashes, and get nodes of their own."""
         if not clash:
             return rows
-        own = F.when(F.col("clash").isNotNull(), F.xxhash64("node", "low", "high")).otherwise(F.col("node"))
+        own = F.when(F.col("clash").isNotNull(), F.xxhash64("node", "low", high)).otherwise(F.col("node"))
         return rows.join(clashes, F.col("node") == F.col("clash"), "left").withColumn("node", own).drop("clash")
 
+    if clash and exact:
+        owns = lines.join(clashes, F.col("node") == F.col("clash")).select("clash", F.xxhash64("node", "low", high).alias("own")).distinct()
+        both = owns.select(F.col("clash").alias("key"), F.col("own").alias("node"))
+        buckets = stored(buckets.join(owns, F.col("node") == F.col("clash"), "left").select("key", F.coalesce("own", "node").alias("node")).unionByName(both), "line-buckets")
     if clash:
         lines = apart(lines)
         nodes = _nodes(lines)
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def likely(x: str, y: str) -> Column:
         if exact:
@@ -407,11 +594,14 @@ def _classes(docs: DataFrame, strict: bool, exact: bool = False) -> DataFrame:
         buckets = _shared(nodes.select("node", F.explode(blocks).alias("key")))
         marks = stored(buckets.join(nodes.select("node", F.struct("low", "high").alias("f")), "node"), "line-marks")
         near = _near(marks, likely("x", "y"))
+    elif exact:
+        near = stored(buckets.select("node").distinct(), "line-near")
     else:
         buckets = _shared(nodes.select("node", "mark", F.explode("keys").alias("key")))
         near = _near(buckets.select("key", "node", F.struct("mark").alias("f")), marked("x", "y"))
-    every, buckets = buckets, stored(buckets.join(near, "node", "left_semi").select("key", "node").distinct(), "line-buckets")
-    forget(every)
+    if not exact:
+        every, buckets = buckets, stored(buckets.join(near, "node", "left_semi").select("key", "node").distinct(), "line-buckets")
+        forget(every)
     known = stored(nodes.join(near, "node", "left_semi").drop("keys", "mark"), "line-candidates")
     # the keys, most of what is stored, have done their work
     wide, nodes = nodes, stored(nodes.select("node", "first", "n"), "line-nodes")
@@ -421,7 +611,7 @@ def _classes(docs: DataFrame, strict: bool, exact: bool = False) -> DataFrame:
     release(docs.sparkSession)
     places = known.groupBy(F.col("first.doc_id").alias("at")).agg(F.collect_list("first.line_no").alias("lines"))
     places = F.broadcast(places) if known.count() <= MAX_BROADCAST_IDS else places
-    read = plain.join(places, F.col("doc_id").eqNullSafe(F.col("at"))).select("text", "lines").mapInArrow(_line_reader(parts), "node long, low long, high long, n_words long, odd array<long>, line string")
+    read = plain.join(places, F.col("doc_id").eqNullSafe(F.col("at"))).select("text", "lines").mapInArrow(_line_reader(parts, exact), "node long, low long, high long, n_words long, odd array<long>, line string")
     # a repeated doc_id may bring a line twice, or one that isn't wanted
     texts = stored(apart(read).join(known.select("node"), "node", "left_semi").dropDuplicates(["node"]), "line-texts")
 
@@ -430,11 +620,17 @@ def _classes(docs: DataFrame, strict: bool, exact: bool = False) -> DataFrame:
         return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verifier, "a long, b long")
 
     # the parities of their words leave few that aren't similar
-    features = texts.select("node", "low", "high", "n_words", "odd")
-    marks = stored(buckets.join(features.select("node", F.struct("low", "high", "n_words", "odd").alias("f")), "node"), "line-marks")
-    close = _near(marks, alike("x", "y"))
-    buckets = stored(buckets.join(close, "node", "left_semi"), "line-buckets")
-    forget(marks)
+    features = texts.select("node", "n_words", "odd") if exact else texts.select("node", "low", "high", "n_words", "odd")
+    if exact:
+        members = buckets.join(features, "node").select("key", "node", "n_words", "odd").repartition("key").sortWithinPartitions("key", "n_words")
+        every, buckets = buckets, shared_runs.spread_sets(members.mapInArrow(_likely_members, shared_runs.SETS))
+        forget(every)
+        features = features.join(buckets.select("node").distinct(), "node", "left_semi")
+    else:
+        marks = stored(buckets.join(features.select("node", F.struct("low", "high", "n_words", "odd").alias("f")), "node"), "line-marks")
+        close = _near(marks, alike("x", "y"))
+        buckets = stored(buckets.join(close, "node", "left_semi"), "line-buckets")
+        forget(marks)
     release(docs.sparkSession)
     groups = linked_groups(buckets, features, alike, confirm, rounds=2)
     # most lines stand once and alone; only the others look for who stays

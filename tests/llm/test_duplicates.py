@@ -390,3 +390,45 @@ def test_query_and_pipeline_lose_no_similar_lines(spark, tmp_path):
     assert got == {i: i // 2 * 2 for i in range(24)}
     left = corpus_pipeline.line_dedup_stage(spark, docs, str(tmp_path))
     assert sorted(r["doc_id"] for r in left.collect()) == list(range(0, 24, 2))
+
+
+def test_dealt_runs_lose_no_link():
+    """Lines at the most edits that a link allows: each shares as many of the dealt keys as is asked of it, one of them needed by both."""
+    from actaspark.llm import shared_runs
+
+    rng = random.Random(8)
+
+    def dealt(words):
+        data = b" ".join(words)
+        _, sizes, first, letters, data = line_dedup._laid_out([data.decode()])
+        assert sizes.tolist() == [len(words)]
+        line, runs, place, _, ends = line_dedup._ordered_runs(line_dedup._word_hashes(data, first, letters), letters, np.array([0]), sizes)
+        needed = line_dedup.keys_needed(sizes)
+        keys = set(runs[place < shared_runs.keys_dealt(sizes, needed)[0]].tolist())
+        return keys | set(ends.tolist()), set(runs[place < needed[0]].tolist()) | set(ends.tolist()), shared_runs.least_shared(sizes, needed, np.array([len(line)]))[0], shared_runs.length_code(sizes)[0]
+
+    for n in [*range(5, 60), 100, 255, 700]:
+        for kind in range(6):
+            x = [f"word{rng.randrange(10 * n if kind else 6)}".encode() for _ in range(n)]
+            y = list(x)
+            for i in range(2, n, 5) if kind < 3 else rng.sample(range(n), n // 5):
+                y[i : i + 1] = [[b"x%d" % i], [], [b"x%d" % i, y[i]]][kind % 3] if kind % 3 != 1 or len(y) > i else [y[i]]
+            if len(y) < 5 or not line_dedup.similar(b" ".join(x).decode(), b" ".join(y).decode()):
+                continue
+            (a, a_needed, a_least, a_code), (b, b_needed, b_least, b_code) = dealt(x), dealt(y)
+            assert len(a & b) >= max(a_least, b_least), (n, kind)
+            assert a_needed & b_needed and abs(int(a_code) - int(b_code)) <= shared_runs.LENGTHS
+
+
+def test_words_of_all_lines_at_once():
+    texts = [None, "", "  \n--- \n;", "Été, 今天天气 ok\t\x0b x\n\n a  b ", "\n", "w" * 300 + " " + "z" * 64 + " 123456789 " + "ab" * 4, "end\n"]
+    counts, sizes, first, letters, data = line_dedup._laid_out(texts)
+    lines = [w for t in texts for w in line_dedup.line_words(t)]
+    assert counts.tolist() == [len(line_dedup.line_words(t)) for t in texts] and sizes.tolist() == [len(w) for w in lines]
+    assert [data[i : i + k] for i, k in zip(first, letters)] == [w for own in lines for w in own]
+    signs = [s for t in texts for s in line_dedup._signs(t)]
+    assert line_dedup._names(texts, counts, sizes, first, letters, data) == [b" ".join(w) or (s and b"\n" + s) for w, s in zip(lines, signs)]
+    words = [b"a", b"a" * 7, b"a" * 8, b"a" * 9, b"a" * 64, b"a" * 65, b"a" * 66, b"a"]
+    _, _, first, letters, data = line_dedup._laid_out([b" ".join(words).decode()])
+    hashes = line_dedup._word_hashes(data, first, letters).tolist()
+    assert hashes[0] == hashes[-1] and len(set(hashes)) == len(set(words))
