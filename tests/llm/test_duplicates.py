@@ -412,7 +412,7 @@ def test_dealt_runs_lose_no_link():
             x = [f"word{rng.randrange(10 * n if kind else 6)}".encode() for _ in range(n)]
             y = list(x)
             for i in range(2, n, 5) if kind < 3 else rng.sample(range(n), n // 5):
-                y[i : i + 1] = [[b"x%d" % i], [], [b"x%d" % i, y[i]]][kind % 3] if kind % 3 != 1 or len(y) > i else [y[i]]
+                y[i : i + 1] = [[b"x%d" % i], [], [b"x%d" % i, *y[i : i + 1]]][kind % 3]
             if len(y) < 5 or not line_dedup.similar(b" ".join(x).decode(), b" ".join(y).decode()):
                 continue
             (a, a_needed, a_least, a_code), (b, b_needed, b_least, b_code) = dealt(x), dealt(y)
