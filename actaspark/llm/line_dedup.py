@@ -6,7 +6,8 @@ lines are one group, however short; a line of signs only is compared as it stand
 similarity (1 - edits / longer line) is at least 0.8. Its bucket keys are pigeonhole blocks of words: an edit
 breaks at most three runs of three words, so of a line's runs, in any order that is the same for all lines, the first
 3 * edits + 1 hold one of any linked line. With ``exact``, as the query and the pipeline call it, all of these are taken and
-SimHash is no test, so keys lose no link (parities of long lines are still a test, of eight standard deviations); ``shared_runs``
+SimHash is no test, so keys lose no link (parities of long lines are still a test, of eight standard deviations; words that a line
+repeats are numbered before, and lines of LONG words or more are also compared by numbers of words by class); ``shared_runs``
 deals them and leaves out lines that share too few, and each bucket is cut into groups that parities allow. Otherwise ``KEYS`` and (words / ``PER_KEY``) squared of them are, which is all that lines below 15 words and beyond
 1,500 need; README has the measured recall between. The order prefers runs of long words, which are rare, so
 buckets stay small, but not so much that an edit of the longest words takes all keys away. Within a bucket lines are tested by parities of their words, which bound their difference, and by
@@ -34,6 +35,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,8 +52,10 @@ NEAR = 27
 KEYS, PER_KEY = 8, 50
 #: Bits of the parities of a line's words: those that are compared first, in one number with the words' count, and all.
 ODD_FIRST, ODD = 48, 512
-#: Documents that are read again are found by a broadcast up to so many ids, and by a shuffle beyond.
-MAX_BROADCAST_IDS = 400_000
+#: Words of a line from which parities fill up, so that the numbers of its words in COUNTS classes stand behind them, four in a number.
+LONG, COUNTS = 256, 64
+#: Lines that are read again are found by a bitmap of at most 2 to this power bits (16 MB), which is broadcast.
+PLACE_BITS = 27
 #: Words of the longest line whose edits are counted by bits, each word at most as many bits.
 BITS = 20_000
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -258,6 +262,45 @@ def _run_dealer(parts: int):
     return deal
 
 
+def numbered(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Hashes of consecutive stretches of words, of which a word's second, third, ... place in a stretch has one of its own: bags
+    become sets that differ in as many elements. Parities see nothing of a word that one line has 28 times and another not at all."""
+    line = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((hashes, line))
+    words, line = hashes[order], line[order]
+    at = np.arange(len(words))
+    again = np.append(False, (words[1:] == words[:-1]) & (line[1:] == line[:-1]))[: len(words)]
+    number = (at - np.maximum.accumulate(np.where(again, 0, at))).astype(np.uint64)
+    out = np.empty_like(hashes)
+    with np.errstate(over="ignore"):
+        out[order] = np.where(again, _stirred(words + number * _MIX), words)
+    return out
+
+
+def _bag_lists(hashes: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Of every line the ODD parities of its bag of words and, from LONG words, their numbers by class. Two bags differ in at
+    least as many words as these numbers do in all; parities of several hundred differences are as good as random."""
+    odd, long = odd_sketches(numbered(hashes, sizes), sizes, ODD), sizes >= LONG
+    own = np.flatnonzero(np.repeat(long, sizes))
+    row = np.repeat(np.arange(long.sum()), sizes[long])
+    counts = np.bincount(row * COUNTS + (_stirred(hashes[own]) % np.uint64(COUNTS)).astype(np.int64), minlength=long.sum() * COUNTS)
+    counts = np.minimum(counts, 0xFFFF).astype("<u2").view("<i8").reshape(-1, COUNTS // 4)
+    ends = np.cumsum(np.where(long, odd.shape[1] + counts.shape[1], odd.shape[1]))
+    starts, out = np.append(0, ends[:-1]), np.empty(ends[-1], np.int64)
+    out[starts[:, None] + np.arange(odd.shape[1])] = odd
+    out[starts[long][:, None] + odd.shape[1] + np.arange(counts.shape[1])] = counts
+    return pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(out))
+
+
+def _bags(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What ``_bag_lists`` put together: parities, numbers by class of long lines, and of every line its row in them (-1: none)."""
+    flat, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy().astype(np.int64)
+    starts, long = np.cumsum(sizes) - sizes, sizes > ODD // 64
+    counts = flat[starts[long][:, None] + ODD // 64 + np.arange(COUNTS // 4)]
+    odd = flat[starts[:, None] + np.arange(ODD // 64)].view(np.uint64)
+    return odd, np.ascontiguousarray(counts).view("<u2").astype(np.int32), np.where(long, np.cumsum(long) - 1, -1)
+
+
 def _marks(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Of every line the parities of ODD_FIRST classes of words, above 16 bits of the number of its words."""
     out = np.empty(len(sizes), np.int64)
@@ -406,13 +449,51 @@ def _verifier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
-def _line_reader(parts: int, exact: bool = False):
+def _place_bits(doc_id: pa.Array, line_no: np.ndarray, n_bits: int) -> np.ndarray:
+    """(places, 2) bits that stand for places of lines in ``_places``."""
+    ids = pc.fill_null(doc_id, 0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    with np.errstate(over="ignore"):
+        mixed = _stirred(_stirred(ids) + line_no.astype(np.uint64))
+    return np.stack([mixed, mixed >> np.uint64(32)], axis=1) & np.uint64(n_bits - 1)
+
+
+def _places(known: DataFrame) -> np.ndarray:
+    """A bitmap in which both bits of every first occurrence are set, 16 bits an occurrence and PLACE_BITS at most: what else has
+    them set costs a line that is read in vain. Texts need no shuffle for it."""
+    n_bits = 1 << max(10, min(PLACE_BITS, (16 * known.count()).bit_length()))
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = np.unique(_place_bits(batch.column("at"), batch.column("line_no").to_numpy(), n_bits))
+            if len(bits):
+                first = np.flatnonzero(np.append(True, bits[1:] >> np.uint64(6) != bits[:-1] >> np.uint64(6)))
+                own = np.bitwise_or.reduceat(np.uint64(1) << (bits & np.uint64(63)), first)
+                yield pa.RecordBatch.from_arrays([pa.array((bits[first] >> np.uint64(6)).view(np.int64)), pa.array(own.view(np.int64))], names=["word", "bits"])
+
+    found = known.select(F.col("first.doc_id").alias("at"), "first.line_no").mapInArrow(words, "word long, bits long")
+    found = found.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(n_bits >> 6, np.uint64)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def _line_reader(parts: int, exact: bool, places: np.ndarray):
+    """Lines of at least MIN_WORDS words whose place is in ``places``, with what they are compared by."""
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 << 20):
+            texts = batch.column("text").to_pylist()
+            counts = np.array([(t or "").count("\n") + 1 for t in texts])
+            ends = np.cumsum(counts)
+            line_no = np.arange(ends[-1]) - np.repeat(ends - counts, counts)
+            bits = _place_bits(batch.column("doc_id").take(pa.array(np.repeat(np.arange(len(texts)), counts))), line_no, len(places) << 6)
+            wanted = ((places[bits >> np.uint64(6)] >> (bits & np.uint64(63))) & np.uint64(1)).all(axis=1)
             lines = []
-            for text, numbers in zip(batch.column("text").to_pylist(), batch.column("lines").to_pylist()):
-                own = line_words(text)
-                lines += [own[i] for i in set(numbers) if i < len(own) and len(own[i]) >= MIN_WORDS]
+            for text, end, n in zip(texts, ends.tolist(), counts.tolist()):
+                numbers = np.flatnonzero(wanted[end - n : end]).tolist()
+                if numbers:
+                    own = line_words(text)
+                    lines += [own[i] for i in numbers if len(own[i]) >= MIN_WORDS]
             if lines:
                 sizes = np.array([len(w) for w in lines])
                 hashes = _hashes(lines)
@@ -422,8 +503,7 @@ def _line_reader(parts: int, exact: bool = False):
                     nodes, marks[:, 0] = zip(*(_short_node(b" ".join(w)) for w in lines))
                 else:
                     marks[:, :parts] = simhash(hashes, np.cumsum(sizes) - sizes, parts)
-                odd = odd_sketches(hashes, sizes, ODD)
-                odd = pa.ListArray.from_arrays(pa.array(np.arange(len(lines) + 1, dtype=np.int32) * odd.shape[1]), pa.array(odd.reshape(-1)))
+                odd = _bag_lists(hashes, sizes)
                 columns = [pa.array(nodes), pa.array(marks[:, 0]), pa.array(marks[:, 1]), pa.array(sizes), odd, pa.array([b" ".join(w).decode() for w in lines])]
                 yield pa.RecordBatch.from_arrays(columns, names=["node", "low", "high", "n_words", "odd", "line"])
 
@@ -457,9 +537,9 @@ def _most_bits(n_words: int) -> np.ndarray:
     return np.where(most <= ODD // 4, most, np.minimum(most, ODD * share + 8 * np.sqrt(ODD * share * (1 - share)) + 1e-6))
 
 
-def _alike_sets(key: np.ndarray, n: np.ndarray, odd: np.ndarray) -> np.ndarray:
+def _alike_sets(key: np.ndarray, n: np.ndarray, odd: np.ndarray, counts: np.ndarray, row: np.ndarray) -> np.ndarray:
     """Of rows in order of keys and words, the first row of the group that those form which ``_bags_allow`` within a key: each is
-    compared with the 1st, 2nd, 3rd, ... after it, as long as the lengths allow a link."""
+    compared with the 1st, 2nd, 3rd, ... after it, as long as the lengths allow a link; ``counts`` and ``row`` as in ``_bags``."""
     top, bits = np.arange(len(key)), _most_bits(20_000)
     at = np.arange(len(key))
     for step in range(1, len(key)):
@@ -473,7 +553,10 @@ def _alike_sets(key: np.ndarray, n: np.ndarray, odd: np.ndarray) -> np.ndarray:
             y = x + step
             most = 2 * ((1 - SIMILARITY) * n[y] + 1e-9).astype(np.int64) - (n[y] - n[x])
             good = np.bitwise_count(odd[x] ^ odd[y]).sum(axis=1, dtype=np.int64) <= bits[np.minimum(most, len(bits) - 1)]
-            x, y = x[good], y[good]
+            x, y, most = x[good], y[good], most[good]
+            both = np.flatnonzero((row[x] >= 0) & (row[y] >= 0))
+            apart = both[np.abs(counts[row[x[both]]] - counts[row[y[both]]]).sum(axis=1) > most[both]]
+            x, y = np.delete(x, apart), np.delete(y, apart)
             while (top[x] != top[y]).any():
                 np.minimum.at(top, np.maximum(top[x], top[y]), np.minimum(top[x], top[y]))
                 while (top[top] != top).any():
@@ -492,8 +575,7 @@ def _likely_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         done = table.slice(0, end)
         held[:] = table.slice(end).to_batches()
         if end:
-            odd = done.column("odd").combine_chunks().flatten().to_numpy().reshape(-1, ODD // 64).view(np.uint64)
-            top = _alike_sets(key[:end], done.column("n_words").to_numpy(), odd)
+            top = _alike_sets(key[:end], done.column("n_words").to_numpy(), *_bags(done.column("odd").combine_chunks()))
             yield from shared_runs.sets(top.astype(np.uint64), done.column("node").to_numpy().view(np.uint64))
 
     for batch in batches:
@@ -609,11 +691,10 @@ def _classes(docs: DataFrame, strict: bool, exact: bool = False) -> DataFrame:
     lines = stored(lines.select("doc_id", "row", "line_no", "node"), "lines")
     forget(hashed)
     release(docs.sparkSession)
-    places = known.groupBy(F.col("first.doc_id").alias("at")).agg(F.collect_list("first.line_no").alias("lines"))
-    places = F.broadcast(places) if known.count() <= MAX_BROADCAST_IDS else places
-    read = plain.join(places, F.col("doc_id").eqNullSafe(F.col("at"))).select("text", "lines").mapInArrow(_line_reader(parts, exact), "node long, low long, high long, n_words long, odd array<long>, line string")
+    read = plain.select("doc_id", "text").mapInArrow(_line_reader(parts, exact, _places(known)), "node long, low long, high long, n_words long, odd array<long>, line string")
     # a repeated doc_id may bring a line twice, or one that isn't wanted
     texts = stored(apart(read).join(known.select("node"), "node", "left_semi").dropDuplicates(["node"]), "line-texts")
+    release(docs.sparkSession)
 
     def confirm(pairs: DataFrame) -> DataFrame:
         x, y = texts.select(F.col("node").alias("a"), F.col("line").alias("x")), texts.select(F.col("node").alias("b"), F.col("line").alias("y"))

@@ -2,6 +2,7 @@ import random
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -432,3 +433,47 @@ def test_words_of_all_lines_at_once():
     _, _, first, letters, data = line_dedup._laid_out([b" ".join(words).decode()])
     hashes = line_dedup._word_hashes(data, first, letters).tolist()
     assert hashes[0] == hashes[-1] and len(set(hashes)) == len(set(words))
+
+
+def test_lines_of_repeated_words_are_told_apart_before_they_are_pairs():
+    rng = random.Random(5)
+    junk = lambda words, times: [w for w in words for _ in range(times)]
+    lines = []
+    for times, n in ((28, 8), (20, 40), (40, 60)):
+        for _ in range(6):
+            lines.append(junk(["the", *("".join(rng.choices("abcdefghij", k=6)) for _ in range(n - 1))], times))
+    linked = [list(lines[0]), list(lines[12])]
+    linked[0][50:60] = ["other"] * 10
+    linked[1][100:500] = ["other"] * 400
+    lines = [[w.encode() for w in line] for line in [*lines, *linked]]
+    lines.sort(key=len)
+    sizes = np.array([len(x) for x in lines])
+    bags = line_dedup._bags(line_dedup._bag_lists(line_dedup._hashes(lines), sizes))
+    top = line_dedup._alike_sets(np.zeros(len(lines), np.int64), sizes, *bags)
+    want = {(i, j) for i in range(len(lines)) for j in range(i) if line_dedup.within(lines[i], lines[j], len(lines[i]) // 5)}
+    assert len(want) == 2
+    assert {(i, j) for i in range(len(lines)) for j in range(i) if top[i] == top[j]} == want
+
+
+def test_bags_of_words_bound_differences():
+    rng = random.Random(6)
+    for _ in range(300):
+        a, b = ([rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.choice((5, 9, 300, 700)))] for _ in range(2))
+        b = b if rng.random() < 0.5 else [rng.choice("xyz") if rng.random() < 0.1 else w for w in a]
+        x, y = line_dedup.Counter(a), line_dedup.Counter(b)
+        differ = sum(((x - y) + (y - x)).values())
+        lines = [[w.encode() for w in a], [w.encode() for w in b]]
+        odd, counts, row = line_dedup._bags(line_dedup._bag_lists(line_dedup._hashes(lines), np.array([len(a), len(b)])))
+        assert np.bitwise_count(odd[0] ^ odd[1]).sum() <= differ
+        if (row >= 0).all():
+            assert np.abs(counts[0] - counts[1]).sum() <= differ
+
+
+def test_places_of_first_occurrences_are_in_the_bitmap(spark):
+    rows = [(None if i % 50 == 0 else i * 7919 - 40_000, i % 13) for i in range(2000)]
+    known = spark.createDataFrame([((d, 0, n), n) for d, n in rows], "first struct<doc_id: long, row: long, line_no: int>, n int")
+    places = line_dedup._places(known)
+    bits = line_dedup._place_bits(pa.array([d for d, _ in rows], pa.int64()), np.array([n for _, n in rows]), len(places) << 6)
+    assert ((places[bits >> np.uint64(6)] >> (bits & np.uint64(63))) & np.uint64(1)).all()
+    assert np.bitwise_count(places).sum() <= 2 * len(rows)
+    assert not line_dedup._places(known.limit(0)).any()
